@@ -18,7 +18,7 @@ from linkloom.operators.links import build_cells
 from linkloom.operators.positions import with_positions
 from linkloom.operators.zeros import dedupe_cells
 from linkloom.plans.entity_vectors import Dictionaries, make_dictionaries
-from linkloom.runtime import new_path, written
+from linkloom.runtime import new_path, ship_package, written
 from linkloom.sources.coo import open_path
 
 THRESHOLD = 50
@@ -222,6 +222,7 @@ class Inputs:
 
 def _write_files(lines: DataFrame, folder: str) -> None:
     """Write ``value`` lines to the files ``name``, one task per file, in order of part and value."""
+    ship_package(lines.sparkSession)
     ordered = lines.repartition("name").sortWithinPartitions("name", "part", "value")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,10 +16,9 @@ _TUPLE = rf"\((?:[^'()\\]++|\\.|{_QUOTED})*+\)"
 _FIELD = rf"(?:[^',\\]++|\\.|{_QUOTED})*+"
 
 IS_INSERT = r"(?s)INSERT INTO `.*` VALUES \(.*\);"
-INSERT_TABLE = r"(?s)INSERT INTO `(.*?)` VALUES \("
-INSERT_BODY = r"(?s)INSERT INTO `.*?` VALUES (\(.*)"
+INSERT_HEAD = r"(?s)INSERT INTO `(.*?)` VALUES \("
 # \G ties every match to the end of the one before, so text between tuples ends the list.
-NEXT_TUPLE = rf"(?s)\G,?({_TUPLE})"
+NEXT_TUPLE = rf"(?s)\G(?:^|,)({_TUPLE})"
 NEXT_FIELD = rf"(?s)(?:^|,)({_FIELD})"
 
 
@@ -27,15 +26,22 @@ def is_insert(line: Column) -> Column:
     return line.contains("INSERT INTO `") & line.rlike(IS_INSERT)
 
 
-def tuple_list(line: Column) -> Column:
-    """Tuples of an insert line, with their parentheses."""
-    return F.regexp_extract_all(F.regexp_extract(line, INSERT_BODY, 1), F.lit(NEXT_TUPLE), 1)
+def insert_parts(line: Column) -> Column:
+    """``struct(table, body)``; the body starts at the first parenthesis after VALUES."""
+    head = F.regexp_substr(line, F.lit(INSERT_HEAD))
+    table = F.regexp_extract(head, INSERT_HEAD, 1)
+    start = F.instr(line, head) + F.length(head) - 1
+    return F.struct(table.alias("table"), F.substring(line, start, F.length(line)).alias("body"))
 
 
-def is_complete(line: Column, tuples: Column) -> Column:
-    """Whether the tuples, joined by commas and ended by a semicolon, are the text after VALUES."""
-    body = F.regexp_extract(line, INSERT_BODY, 1)
-    return body.startswith(F.concat(F.array_join(tuples, ","), F.lit(";")))
+def tuple_list(body: Column) -> Column:
+    """Tuples of the body of an insert line, with their parentheses."""
+    return F.regexp_extract_all(body, F.lit(NEXT_TUPLE), 1)
+
+
+def is_complete(body: Column, tuples: Column) -> Column:
+    """Whether the comma-separated tuples reach up to the closing semicolon."""
+    return F.substring(body, F.length(F.array_join(tuples, ",")) + 1, F.lit(1)) == ";"
 
 
 def raw_fields(tuple_text: Column) -> Column:

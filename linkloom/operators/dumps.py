@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.dump import INSERT_TABLE, field_value, is_complete, is_insert, raw_fields, tuple_list
+from linkloom.functions.dump import field_value, insert_parts, is_complete, is_insert, raw_fields, tuple_list
 from linkloom.functions.text import bytes_to_text, parse_int, text_to_bytes
 from linkloom.operators.lookup import lookup_join
 
@@ -53,27 +53,39 @@ def parse_dump_tuples(lines: DataFrame, on_error: str = "fail") -> DataFrame:
     """
     kept = [c for c in lines.columns if c != "value"]
     inserts = lines.where(is_insert(F.col("value"))).select(*kept, bytes_to_text(F.col("value")).alias("_text"))
-    inserts = inserts.withColumn("_tuples", tuple_list(F.col("_text")))
-    complete = is_complete(F.col("_text"), F.col("_tuples"))
+    # Each step leaves the longer text behind, so that no row of a tuple drags its line along.
+    inserts = _once(inserts, "_parts", insert_parts(F.col("_text"))).select(
+        *kept, text_to_bytes(F.col("_parts.table")).alias("table"), F.col("_parts.body").alias("_body")
+    )
+    inserts = _once(inserts, "_tuples", tuple_list(F.col("_body")))
+    inserts = _once(inserts, "_complete", is_complete(F.col("_body"), F.col("_tuples")))
     if on_error == "drop":
-        inserts = inserts.where(complete)
+        inserts = inserts.where("_complete")
         tuples = F.col("_tuples")
     elif on_error == "fail":
-        message = F.concat(F.lit("malformed tuple list: "), F.substring("_text", 1, 200))
-        tuples = F.when(complete, F.col("_tuples")).otherwise(F.raise_error(message).cast("array<string>"))
+        message = F.concat(F.lit("malformed tuple list: "), F.substring("_body", 1, 200))
+        tuples = F.when(F.col("_complete"), F.col("_tuples")).otherwise(F.raise_error(message).cast("array<string>"))
     else:
         raise ValueError(f"on_error must be 'fail' or 'drop', not {on_error!r}")
-    table = text_to_bytes(F.regexp_extract("_text", INSERT_TABLE, 1))
-    return (
-        inserts.select(*kept, table.alias("table"), F.posexplode(tuples).alias("pos", "tuple"))
-        .withColumn("fields", raw_fields(F.col("tuple")))
-    )
+    exploded = inserts.select(*kept, "table", F.posexplode(tuples).alias("pos", "tuple"))
+    return _once(exploded, "fields", raw_fields(F.col("tuple")))
 
 
 def malformed_inserts(lines: DataFrame) -> DataFrame:
     """The lines which ``parse_dump_tuples(..., on_error="drop")`` leaves out."""
-    text = bytes_to_text(F.col("value"))
-    return lines.where(is_insert(F.col("value")) & ~is_complete(text, tuple_list(text)))
+    inserts = lines.where(is_insert(F.col("value")))
+    inserts = _once(inserts, "_body", insert_parts(bytes_to_text(F.col("value")))["body"])
+    return inserts.where(~is_complete(F.col("_body"), tuple_list(F.col("_body")))).select(*lines.columns)
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    The optimizer copies a projected expression into every later use, which for a
+    pattern over a long text costs more than all the rest; it does not copy the output
+    of a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def field(position: int) -> Column:

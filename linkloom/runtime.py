@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(cores: str = "8", app: str = "linkloom", **conf: str) -> SparkSession:
@@ -60,3 +63,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    # Executors fetch the archive from the driver when they run their first task.
+    _shipped[app] = tempfile.TemporaryDirectory(prefix="linkloom-package-")
+    archive = shutil.make_archive(f"{_shipped[app].name}/{package.name}", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)

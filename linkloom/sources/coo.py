@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.cells import cell_shard_name
+from linkloom.runtime import ship_package
 
 # Record layout (little endian) and shard file names.
 RECORD = np.dtype([("row", "<u4"), ("col", "<u4"), ("value", "<f4")])
@@ -35,6 +36,7 @@ def read_coo(spark: SparkSession, folder: str, slice_records: int = SLICE_RECORD
     Only the file lengths are listed up front; files are then read in slices, in any
     number of tasks. A rest shorter than a record is ignored.
     """
+    ship_package(spark)
     width = RECORD.itemsize
     files = (
         spark.read.format("binaryFile")
@@ -78,6 +80,7 @@ def write_coo(cells: DataFrame, folder: str, shards: int) -> None:
     The format wants one file per shard, so each is written by one task, in batches
     and in the order of row and column.
     """
+    ship_package(cells.sparkSession)
     named = cells.withColumn("_file", cell_shard_name(F.col("shard").cast("int"), shards))
     ordered = named.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "row", "col")
 
