@@ -16,7 +16,7 @@ from linkloom.runtime import new_path, written
 from linkloom.sources import lines as source
 from linkloom.sources import sinks
 
-CHUNK_LINES = 7
+CHUNK_LINES = 100
 
 _TITLES = "select page_title from page where page_is_redirect = 0"
 _IDS = "select page_id as id from page where page_namespace = 0"
@@ -230,12 +230,12 @@ def chunk_dump(t: Inputs) -> DataFrame:
 
 @register(
     "skip_chunks",
-    query(f"select chunk::BIGINT as chunk, value from ({_CHUNKED}) where chunk >= 3", "pagelinks_lines"),
+    query(f"select chunk::BIGINT as chunk, value from ({_CHUNKED}) where chunk >= 5", "pagelinks_lines"),
 )
 def skip_chunks(t: Inputs) -> DataFrame:
     lines, tuples = _filtered_links(t)
     rebuilt = op.with_chunk(op.rebuild_dump(lines, tuples, ["line_no"]), CHUNK_LINES)
-    return op.skip_chunks(rebuilt, 3).select("chunk", "value")
+    return op.skip_chunks(rebuilt, 5).select("chunk", "value")
 
 
 @register(

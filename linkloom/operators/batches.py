@@ -39,8 +39,11 @@ def drop_partial_batch(batched: DataFrame, batch_size: int, size: int) -> DataFr
 
 
 def place_in_shards(cells: DataFrame, order: Sequence[str] = ("row", "col")) -> DataFrame:
-    """Add ``seq``, the position over all shards, and ``pos``, the one within the shard."""
-    placed = written(with_positions(cells, "shard", *order, name="seq"), "placed-cells")
+    """Add ``seq``, the position over all shards, and ``pos``, the one within the shard.
+
+    ``cells`` is a stored table; cells may be repeated.
+    """
+    placed = with_positions(cells, "shard", *order, name="seq", copies=True)
     # One row per shard.
     starts = placed.groupBy("shard").agg(F.min("seq").alias("_start"))
     return placed.join(F.broadcast(starts), "shard").withColumn("pos", F.col("seq") - F.col("_start")).drop("_start")

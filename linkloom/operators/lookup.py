@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from linkloom.runtime import written
 
@@ -16,17 +16,21 @@ from linkloom.runtime import written
 BROADCAST_BYTES = 128 << 20
 # Keys with more rows than this are spread over several tasks, one per this many rows.
 HOT_ROWS = 1_000_000
+# No more keys than this are treated as hot: the hottest ones.
+MAX_HOT = 200_000
 
 _ROW_OVERHEAD = 48
 
 
 def stored_bytes(table: DataFrame) -> int:
-    """Memory a broadcast of ``table`` takes, from its row count and string lengths."""
-    text = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
-    width = _ROW_OVERHEAD + 8 * len(table.columns)
-    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"t{i}") for i, c in enumerate(text)]
-    measured = table.agg(F.count(F.lit(1)).alias("rows"), *lengths).first()
-    return measured[0] * width + sum(measured[1:])
+    """Memory a broadcast of ``table`` takes, from its row count and the lengths of its values."""
+    width = F.lit(_ROW_OVERHEAD + 8 * len(table.columns))
+    for f in table.schema.fields:
+        if isinstance(f.dataType, StringType):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, ArrayType):
+            width = width + 8 * F.coalesce(F.size(f.name), F.lit(0))
+    return table.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
 def lookup_join(
@@ -51,14 +55,7 @@ def lookup_join(
     if stored_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on, how)
 
-    # At most (facts / hot_rows) rows, so this one is always small enough to broadcast.
-    hot = written(
-        facts.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where((F.col("_rows") > hot_rows) & ~_any_null(on))
-        .select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_slices")),
-        "hot-keys",
-    )
+    hot = hot_keys(facts, on, hot_rows).select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_slices"))
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     spread = F.xxhash64(*(spread_by or facts.columns))
     # A missing key matches nothing; spreading such rows keeps them out of one task.
@@ -72,5 +69,14 @@ def lookup_join(
     return left.join(right, [*on, "_slice"], how).drop("_slice")
 
 
+def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int, most: int = MAX_HOT) -> DataFrame:
+    """``(*on, _rows)`` of keys with more than ``hot_rows`` rows; less than ``most`` of them."""
+    counts = facts.where(~_any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = written(counts.where(F.col("_rows") > hot_rows), "hot-keys")
+    keys, rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    # Fewer than ``most`` keys can have more than one in ``most`` of all these rows.
+    return hot if keys < most else hot.where(F.col("_rows") > rows // most)
+
+
 def _any_null(columns: Sequence[str]):
     return reduce(or_, (F.col(c).isNull() for c in columns))

@@ -13,16 +13,20 @@ from linkloom.runtime import written
 _ROW_BITS = 33
 
 
-def with_positions(df: DataFrame, *order, name: str = "id") -> DataFrame:
+def with_positions(df: DataFrame, *order, name: str = "id", copies: bool = False) -> DataFrame:
     """Number the rows 0..n-1 in ``order``.
 
     A range-partitioned sort is written once together with each row's partition and
     place in it; the position is that place plus the rows in earlier partitions.
+    Rows equal in ``order`` would all be sorted by one task. Set ``copies`` if there may
+    be many such; ``df`` must then be stored, so that a task run again sees its rows in
+    the same sequence.
     """
     slot = F.monotonically_increasing_id()
-    placed = written(df.orderBy(*order).withColumn("_slot", slot), "placed").withColumn(
-        "_part", F.shiftright("_slot", _ROW_BITS)
-    )
+    if copies:
+        df, order = df.withColumn("_copy", slot), (*order, "_copy")
+    placed = df.orderBy(*order).drop("_copy").withColumn("_slot", slot)
+    placed = written(placed, "placed").withColumn("_part", F.shiftright("_slot", _ROW_BITS))
     # One row per sort partition, so at most spark.sql.shuffle.partitions rows.
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     starts = sizes.select("_part", (F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")).alias("_start"))

@@ -112,12 +112,15 @@ def with_count_shard(counts: DataFrame, shards: int) -> DataFrame:
 
 
 def merge_ranked(lines: DataFrame) -> DataFrame:
-    """Ranked lines of any number of files as one ranking by the integer after the last tab."""
+    """Ranked lines of any number of files as one ranking by the integer after the last tab.
+
+    Equal lines are kept; their place in the files lets several tasks sort them.
+    """
     key = parse_int(F.substring_index("value", "\t", -1))
     bad = F.raise_error(F.concat(F.lit("No count at the end of: "), F.col("value"))).cast("bigint")
     return (
-        lines.select("value", F.coalesce(key, bad).alias("count"))
-        .orderBy(F.desc("count"), F.asc("value"))
+        lines.withColumn("count", F.coalesce(key, bad))
+        .orderBy(F.desc("count"), F.asc("value"), "file", "block", "slot")
         .select("value", "count")
     )
 

@@ -64,8 +64,13 @@ def write_names(names: DataFrame, path: str, *order) -> None:
 
 
 def write_cells(cells: DataFrame, path: str) -> None:
-    """Cells as Parquet, one folder ``shard=<i>`` per shard; a shard may have many files."""
-    cells.write.partitionBy("shard").parquet(path)
+    """Cells as Parquet, one folder ``shard=<i>`` per shard, sorted by row and column.
+
+    Cut into ranges of about equal size: a large shard is written by several tasks, and
+    no task writes to more than its few neighbouring shards.
+    """
+    ordered = cells.repartitionByRange("shard", "row", "col").sortWithinPartitions("shard", "row", "col")
+    ordered.write.partitionBy("shard").parquet(path)
 
 
 def write_vectors(vectors: DataFrame, path: str) -> None:
