@@ -166,11 +166,9 @@ def rebuild_inserts(tuples: DataFrame, place: Sequence[str] = PLACE) -> DataFram
     """
     in_order = F.array_sort(F.collect_list(F.struct("pos", "tuple")))
     values = F.array_join(F.transform(in_order, lambda t: t["tuple"]), ",")
-    return (
-        tuples.groupBy(*place, "table")
-        .agg(text_to_bytes(values).alias("_values"))
-        .select(*place, F.format_string("INSERT INTO `%s` VALUES %s;", "table", "_values").alias("value"))
-    )
+    line = F.concat(F.lit("INSERT INTO `"), "table", F.lit("` VALUES "), "_values", F.lit(";"))
+    rebuilt = tuples.groupBy(*place, "table").agg(text_to_bytes(values).alias("_values"))
+    return rebuilt.select(*place, line.alias("value"))
 
 
 def rebuild_dump(lines: DataFrame, tuples: DataFrame, place: Sequence[str] = PLACE) -> DataFrame:

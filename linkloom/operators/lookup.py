@@ -55,15 +55,15 @@ def lookup_join(
     if stored_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on, how)
 
-    hot = hot_keys(facts, on, hot_rows).select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_slices"))
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    hot = hot_keys(facts, on, hot_rows).select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint").alias("_slices"))
+    slices = F.coalesce(F.col("_slices"), F.lit(1).cast("bigint"))
     spread = F.xxhash64(*(spread_by or facts.columns))
     # A missing key matches nothing; spreading such rows keeps them out of one task.
     slice_of = F.when(_any_null(on), spread).otherwise(F.pmod(spread, slices))
     left = facts.join(F.broadcast(hot), on, "left").withColumn("_slice", slice_of).drop("_slices")
     right = (
         lookup.join(F.broadcast(hot), on, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)).cast("bigint"))
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
         .drop("_slices")
     )
     return left.join(right, [*on, "_slice"], how).drop("_slice")

@@ -1,0 +1,165 @@
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkloom.operators import ranking as op
+from linkloom.operators.positions import number_lines
+from linkloom.plans.popularity import count_pages, rank_pages
+from linkloom.sources import lines as source
+from linkloom.sources import sinks
+
+
+def pairs(df):
+    return [(r["page_title"], r["count"]) for r in df.collect()]
+
+
+def frame(spark, lines):
+    return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
+def logs(folder, files):
+    for name, lines in files.items():
+        with gzip.open(folder / name, "wb") as out:
+            out.write("".join(f"{line}\n" for line in lines).encode())
+    return str(folder)
+
+
+HOURS = {
+    "pageviews-20190101-000000.gz": [
+        "de Albert_Einstein 50 0",
+        "en Albert_Einstein 6 0",
+        "en Barack_Obama 10 0",
+        "en Frank_Sinatra 2 0",
+        "en Jennifer_Aniston 5 0",
+        "en User_talk:Somebody 99 0",
+        "en.m Albert_Einstein 70 0",
+    ],
+    "pageviews-20190101-010000.gz": [
+        "en Albert_Einstein 7 0",
+        "en Jennifer_Aniston 7 0",
+        "en special:Search 8 0",
+        "fr Barack_Obama 3 0",
+    ],
+    "other-20190101-010000.gz": ["en Barack_Obama 1000 0"],
+}
+RANKING = [("Albert_Einstein", 13), ("Jennifer_Aniston", 12), ("Barack_Obama", 10), ("Frank_Sinatra", 2)]
+
+
+@pytest.mark.parametrize("line, title, count", [("en foo 1 0", "foo", 1), ("en foo bar 1 0", "foo bar", 1), ("en  1 0", "", 1)])
+def test_decode(spark, line, title, count):
+    row = op.decode_pageviews(frame(spark, [line])).first()
+    assert (row["project"], row["page_title"], row["count"], row["last"]) == ("en", title, count, 0)
+
+
+@pytest.mark.parametrize("bad", ["en foo 1", "en foo x 0", "en foo 1.5 0"])
+def test_undecodable_lines_fail_or_are_dropped(spark, bad):
+    lines = frame(spark, [bad, "en foo 3 x"])
+    with pytest.raises(Exception, match="Invalid input"):
+        op.decode_pageviews(lines).collect()
+    kept = op.decode_pageviews(lines, "drop").collect()
+    assert [(r["page_title"], r["count"], r["last"]) for r in kept] == [("foo", 3, None)]
+    assert [r["value"] for r in op.undecodable_lines(lines).collect()] == [bad]
+
+
+def test_ranking_from_hourly_logs(spark, tmp_path):
+    lines = source.scan_pageviews(spark, logs(tmp_path, HOURS))
+    assert pairs(rank_pages(lines)) == RANKING
+    assert pairs(rank_pages(lines, limit=2)) == RANKING[:2]
+    assert pairs(rank_pages(lines, project="en.m")) == [("Albert_Einstein", 70)]
+
+
+def test_ranking_through_shard_files(spark, tmp_path):
+    logs(tmp_path, HOURS)
+    counts = count_pages(source.scan_pageviews(spark, str(tmp_path)))
+    shards = str(tmp_path / "shards")
+    sinks.write_shard_counts(counts, shards, 4)
+    names = {r["shard"] for r in spark.read.text(shards).collect()}
+    assert names and all(name.startswith("pagecounts-00") and name.endswith("-of-004") for name in names)
+    merged = op.merge_ranked(source.read_lines(spark, shards))
+    assert [r["value"] for r in merged.collect()] == [f"{t}\t{c}" for t, c in RANKING]
+    sinks.write_ranked(counts, str(tmp_path / "ranked"))
+    numbered = number_lines(source.read_lines(spark, str(tmp_path / "ranked")))
+    assert [r["value"] for r in numbered.orderBy("line_no").collect()] == [f"{t}\t{c}" for t, c in RANKING]
+
+
+def test_shard_files_are_descending(spark, tmp_path):
+    counts = spark.range(500).select(
+        F.concat(F.lit("t"), "id").alias("page_title"), (F.col("id") * 7919 % 100).alias("count")
+    )
+    sinks.write_shard_counts(counts, str(tmp_path / "s"), 3)
+    lines = source.read_lines(spark, str(tmp_path / "s")).orderBy("file", "block", "slot").collect()
+    by_file = {}
+    for r in lines:
+        by_file.setdefault(r["file"], []).append(int(r["value"].split("\t")[1]))
+    assert len(by_file) == 3 and sum(map(len, by_file.values())) == 500
+    assert all(v == sorted(v, reverse=True) for v in by_file.values())
+
+
+def test_merge_streams(spark):
+    streams = [[10, 7, 4], [6, 3, 2], [9, 8], [5, 1]]
+    rows = [(f"s{i}\t{v}", f"f{i}", 0, n) for i, values in enumerate(streams) for n, v in enumerate(values)]
+    lines = spark.createDataFrame(rows, "value string, file string, block long, slot long")
+    order = [int(r["value"][1]) for r in op.merge_ranked(lines).collect()]
+    assert order == [0, 2, 2, 0, 1, 3, 0, 1, 1, 3]
+
+
+def test_corrupt_files(spark, tmp_path):
+    logs(tmp_path, HOURS)
+    (tmp_path / "pageviews-20190101-020000.gz").write_bytes(b"no gzip at all\n")
+    whole = gzip.compress("".join(f"en page_{i} 1 0\n" for i in range(200_000)).encode())
+    (tmp_path / "pageviews-20190101-030000.gz").write_bytes(whole[: len(whole) // 2])
+    counts = dict(pairs(count_pages(source.scan_pageviews(spark, str(tmp_path)), on_error="drop")))
+    assert counts["Albert_Einstein"] == 13
+    assert 0 < sum(title.startswith("page_") for title in counts) < 200_000
+    with pytest.raises(Exception):
+        source.scan_pageviews(spark, str(tmp_path), skip_corrupt=False).count()
+
+
+def test_first_run_only(spark, tmp_path):
+    files = {
+        "pageviews-1-1.gz": ["de a 1 0", "en a 1 0", "en b 1 0", "fr a 1 0", "en c 1 0"],
+        "pageviews-1-2.gz": ["en d 1 0", "en e 1 0"],
+        "pageviews-1-3.gz": ["de f 1 0"],
+    }
+    lines = source.scan_pageviews(spark, logs(tmp_path, files))
+    kept = {r["value"] for r in op.first_project_run(lines, "en").collect()}
+    assert kept == {"en a 1 0", "en b 1 0", "en d 1 0", "en e 1 0"}
+
+
+def test_large_top_is_cut_by_position(spark, monkeypatch):
+    counts = spark.range(300).select(F.concat(F.lit("p"), "id").alias("page_title"), (F.col("id") % 7).alias("count"))
+    for n in (1, 43, 100, 300, 1000):
+        monkeypatch.setattr(op, "SMALL_TOP", 0)
+        by_position = pairs(op.top_n_pages(counts, n))
+        monkeypatch.undo()
+        assert by_position == pairs(op.top_n_pages(counts, n)) == pairs(op.rank_desc(counts))[:n]
+
+
+def test_counts_are_preserved(spark):
+    lines = frame(spark, [f"en page_{i % 5} {i} 0" for i in range(100)])
+    assert sum(c for _, c in pairs(count_pages(lines))) == sum(range(100))
+
+
+def test_bytes_of_titles_survive(spark, tmp_path):
+    broken = [b"en a\xff 1 0\n", b"en a\xfe 2 0\n", b"en a\xfe 3 0\r\n"]
+    (tmp_path / "views").write_bytes(b"".join(broken))
+    counts = count_pages(source.read_lines(spark, str(tmp_path / "views")))
+    got = {bytes(r["t"]): r["count"] for r in counts.select(F.col("page_title").cast("binary").alias("t"), "count").collect()}
+    assert got == {b"a\xff": 1, b"a\xfe": 5}
+
+
+def test_line_numbers_over_splits_and_files(spark, tmp_path):
+    for name, start in (("part.2", 0), ("part.10", 1000)):
+        (tmp_path / name).write_text("".join(f"{i}\n" for i in range(start, start + 1000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        lines = source.read_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 5
+        rows = number_lines(lines).select("line_no", "value").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(rows) == 2000 and all(r["line_no"] == int(r["value"]) for r in rows)
