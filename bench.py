@@ -15,7 +15,7 @@ from linkloom.catalog import QUERIES
 from linkloom.runtime import local_session
 
 HEADLINE = (
-    "pageviews_job", "top_n_pages", "sum_by_title", "parse_dump_tuples", "semi_by_title", "dump_job",
+    "ranking_job", "top_n_pages", "sum_by_title", "parse_dump_tuples", "semi_by_title", "dump_job",
     "write_filtered_dump", "min_links", "link_counts", "union_link_families", "dedupe_cells", "inject_zeros",
     "batch_merged", "read_coo", "fit_embeddings", "loss_history",
 )

@@ -230,12 +230,12 @@ def chunk_dump(t: Inputs) -> DataFrame:
 
 @register(
     "skip_chunks",
-    query(f"select chunk::BIGINT as chunk, value from ({_CHUNKED}) where chunk >= 5", "pagelinks_lines"),
+    query(f"select chunk::BIGINT as chunk, value from ({_CHUNKED}) where chunk >= 1", "pagelinks_lines"),
 )
 def skip_chunks(t: Inputs) -> DataFrame:
     lines, tuples = _filtered_links(t)
     rebuilt = op.with_chunk(op.rebuild_dump(lines, tuples, ["line_no"]), CHUNK_LINES)
-    return op.skip_chunks(rebuilt, 5).select("chunk", "value")
+    return op.skip_chunks(rebuilt, 1).select("chunk", "value")
 
 
 @register(

@@ -138,8 +138,8 @@ def top_n_pages(t: Inputs) -> DataFrame:
     return op.top_n_pages(count_pages(t.views), TOP)
 
 
-@register("pageviews_job", query("select page_title, count from counts", "counts"))
-def pageviews_job(t: Inputs) -> DataFrame:
+@register("ranking_job", query("select page_title, count from counts", "counts"))
+def ranking_job(t: Inputs) -> DataFrame:
     return rank_pages(source.scan_pageviews(t.spark, t.view_files()))
 
 

@@ -30,7 +30,8 @@ def strip(value: Column) -> Column:
 
 def parse_int(value: Column) -> Column:
     """Optional sign and digits only, else null; also null beyond 64 bits."""
-    return F.when(value.rlike(INTEGER), value.try_cast("bigint"))
+    # The argument is named once, as it may be a long expression. No match gives "".
+    return F.regexp_extract(value, INTEGER, 0).try_cast("bigint")
 
 
 def is_internal(title: Column) -> Column:

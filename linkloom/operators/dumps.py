@@ -133,18 +133,18 @@ def filter_main_ns(tuples: DataFrame) -> DataFrame:
 
 def require_int_key(tuples: DataFrame) -> DataFrame:
     """Tuples whose first field is an integer, with it as ``id``."""
-    return tuples.withColumn("id", tuple_id()).where(F.col("id").isNotNull())
+    return _once(tuples, "id", tuple_id()).where(F.col("id").isNotNull())
 
 
 def semi_by_id(tuples: DataFrame, ids: DataFrame) -> DataFrame:
     """Tuples whose first field is one of ``ids.id``."""
-    keyed = tuples.withColumn("_id", parse_int(field(ID_FIELD)))
+    keyed = _once(tuples, "_id", parse_int(field(ID_FIELD)))
     return lookup_join(keyed, ids.select(F.col("id").alias("_id")), ["_id"], "left_semi", _spread(tuples)).drop("_id")
 
 
 def semi_by_title(tuples: DataFrame, titles: DataFrame) -> DataFrame:
     """Tuples whose third field is one of ``titles.page_title``; too short ones pass."""
-    keyed = tuples.withColumn("_title", field(TITLE_FIELD))
+    keyed = _once(tuples, "_title", field(TITLE_FIELD))
     known = titles.select(F.col("page_title").alias("_title"), F.lit(True).alias("_known")).distinct()
     marked = lookup_join(keyed, known, ["_title"], "left", _spread(tuples))
     return marked.where(F.col("_known") | _lacks(TITLE_FIELD)).drop("_title", "_known")
@@ -188,4 +188,5 @@ def skip_chunks(chunked: DataFrame, skip: int) -> DataFrame:
 
 def tuple_ids(tuples: DataFrame) -> DataFrame:
     """Ids of the tuples with their place, duplicates kept."""
-    return require_int_key(tuples).select(*[c for c in tuples.columns if c not in ("table", "tuple", "fields")], "id")
+    keyed = tuples if "id" in tuples.columns else require_int_key(tuples)
+    return keyed.drop("table", "tuple", "fields")

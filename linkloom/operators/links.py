@@ -93,14 +93,15 @@ def name_ids(dictionary: DataFrame) -> DataFrame:
 
 def lookup_id(names: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``id`` to a column ``name``: its id in the dictionary, -1 if unknown."""
-    found = lookup_join(names, name_ids(dictionary), ["name"], "left")
-    return found.withColumn("id", F.coalesce("id", F.lit(-1)))
+    found = lookup_join(with_link_row(names), name_ids(dictionary), ["name"], "left", spread_by=["_row"])
+    return found.withColumn("id", F.coalesce("id", F.lit(-1))).drop("_row")
 
 
 def in_dictionary(page: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(page_id, page_title, id)``: pages whose title is in the dictionary."""
     ids = name_ids(dictionary).withColumnRenamed("name", "page_title")
-    return lookup_join(page.select("page_id", "page_title"), ids, ["page_title"]).select("page_id", "page_title", "id")
+    found = lookup_join(page.select("page_id", "page_title"), ids, ["page_title"], spread_by=["page_id"])
+    return found.select("page_id", "page_title", "id")
 
 
 def lookup_title(pagelinks: DataFrame, page: DataFrame) -> DataFrame:
@@ -110,7 +111,7 @@ def lookup_title(pagelinks: DataFrame, page: DataFrame) -> DataFrame:
 
 
 def with_link_row(links: DataFrame) -> DataFrame:
-    """Number the rows of a scan, so that equal links can still be told apart."""
+    """Number the rows of a stored table, so that equal rows can still be told apart."""
     return links.withColumn("_row", F.monotonically_increasing_id())
 
 
@@ -166,7 +167,8 @@ def build_cells(
     ends = written(as_outlink.union(as_inlink), "link-ends")
     links = with_link_row(pagelinks.select("pl_from", "pl_title", _both_main().alias("_main")))
     links = lookup_join(links, starts, ["pl_from"], spread_by=["_row"])
-    links = lookup_join(links, ends, ["pl_title"], spread_by=["_row"]).where(F.col("_out") | F.col("_main"))
+    links = lookup_join(links, ends, ["pl_title"], spread_by=["_row"], counted=pagelinks)
+    links = links.where(F.col("_out") | F.col("_main"))
     start, end, out = F.col("_start"), F.col("_end"), F.col("_out")
     page_cells = links.select(
         F.when(out, start).otherwise(end).alias("row"),
@@ -176,6 +178,7 @@ def build_cells(
     kinds = written(name_ids(categories).withColumnRenamed("id", "_category"), "category-ids")
     tagged = with_link_row(categorylinks.select(F.col("cl_from").alias("pl_from"), F.col("cl_to").alias("name")))
     tagged = lookup_join(tagged, starts, ["pl_from"], spread_by=["_row"])
-    tagged = lookup_join(tagged, kinds, ["name"], spread_by=["_row"])
+    names = categorylinks.select(F.col("cl_to").alias("name"))
+    tagged = lookup_join(tagged, kinds, ["name"], spread_by=["_row"], counted=names)
     category_cells = tagged.select(F.col("_start").alias("row"), category_col(F.col("_category"), size).alias("col"))
     return page_cells.unionByName(category_cells).withColumn("value", F.lit(1.0).cast("float"))

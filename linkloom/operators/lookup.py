@@ -39,6 +39,7 @@ def lookup_join(
     on: Sequence[str],
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -49,13 +50,15 @@ def lookup_join(
     cut into slices: their lookup rows are repeated once per slice, their facts go to the
     slice given by a hash of ``spread_by``. Pass stored columns which tell the rows of a
     key apart, so that the slice of a row is the same when a task is run again.
-    ``lookup`` is read twice and should be a file or written table.
+    ``lookup`` is read twice and should be a file or written table. So are ``facts`` if
+    keys must be counted; ``counted`` may name a cheaper table with at least their keys.
     """
     on = list(on)
     if stored_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on, how)
 
-    hot = hot_keys(facts, on, hot_rows).select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint").alias("_slices"))
+    slices = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint")
+    hot = hot_keys(facts if counted is None else counted, on, hot_rows).select(*on, slices.alias("_slices"))
     slices = F.coalesce(F.col("_slices"), F.lit(1).cast("bigint"))
     spread = F.xxhash64(*(spread_by or facts.columns))
     # A missing key matches nothing; spreading such rows keeps them out of one task.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.cells import count_shard_name, hash_shard
-from linkloom.functions.pageviews import count_field, is_decodable, last_field, project_of, title_of
+from linkloom.functions.views import count_field, is_decodable, last_field, project_of, title_of
 from linkloom.functions.text import is_internal, parse_int
 from linkloom.operators.lookup import lookup_join
 from linkloom.operators.positions import with_positions

@@ -58,6 +58,13 @@ def write_ids(ids: DataFrame, path: str) -> None:
     write_lines(ids.withColumn("value", F.col("id").cast("string")), path, *_line_order(ids), "pos")
 
 
+def write_id_chunks(ids: DataFrame, path: str) -> None:
+    """The same, one folder ``chunk=<k>`` per chunk. Needs ``line_no`` and ``chunk``."""
+    order = "chunk", "line_no", "pos"
+    ordered = ids.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select("chunk", F.col("id").cast("string").alias("value")).write.partitionBy("chunk").text(path)
+
+
 def write_names(names: DataFrame, path: str, *order) -> None:
     """Names of a dictionary, one per line; the line number is the id."""
     write_lines(names.withColumnRenamed("name", "value"), path, *order)

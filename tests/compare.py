@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 import sys
 import time
@@ -41,8 +43,8 @@ def rows_of(names: list[str], rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, name, make, oracle, sf_dir, connection=None) -> tuple[int, float]:
-    """Rows and Spark seconds; raises if the query differs from its SQL."""
+def compare(spark, name, make, oracle, sf_dir, connection=None) -> tuple[int, float, str]:
+    """Row count, Spark seconds and plan; raises if the query differs from its SQL."""
     began = time.perf_counter()
     df = make(spark, sf_dir)
     rows = df.collect()
@@ -59,7 +61,9 @@ def compare(spark, name, make, oracle, sf_dir, connection=None) -> tuple[int, fl
         if got != want:
             extra, missing = list((got - want).items())[:3], list((want - got).items())[:3]
             raise AssertionError(f"{name}: {got.total()} rows, SQL {want.total()}; extra {extra}; missing {missing}")
-    return len(rows), seconds
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        df.explain()
+    return len(rows), seconds, plan.getvalue()
 
 
 if __name__ == "__main__":
@@ -74,7 +78,7 @@ if __name__ == "__main__":
         if only and key not in only:
             continue
         try:
-            count, took = compare(session, key, query, oracle_sql().get(key), folder, link)
+            count, took, _ = compare(session, key, query, oracle_sql().get(key), folder, link)
             print(f"{key:24} {count:8} rows {took:7.2f} s {'' if key in oracle_sql() else '(rows only)'}", flush=True)
         except Exception as error:
             failed.append(key)

@@ -18,8 +18,10 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, connection, name):
-    rows, _ = compare(spark, name, queries()[name], oracle_sql().get(name), DATA, connection)
+    rows, _, plan = compare(spark, name, queries()[name], oracle_sql().get(name), DATA, connection)
     assert rows > 0
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
 
 
 def test_all_but_solvers_have_sql():
