@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from linkloom.operators.links import MIN_LINKS
 from linkloom.plans import files
+from linkloom.runtime import clear_workspace
 
 
 def parser() -> argparse.ArgumentParser:
@@ -46,4 +47,7 @@ def main(arguments: list[str] | None = None) -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    finally:
+        clear_workspace(SparkSession.builder.getOrCreate())

@@ -52,8 +52,7 @@ def row_density(t: Inputs) -> DataFrame:
     return op.row_density(t.cells, t.dictionaries.shape().rows)
 
 
-# The draws of the SQL cover every scale it is checked at; both sides take the first free ones.
-_ZEROS = zeros(BLOCKS, FACTOR, op.SEED, 40_000)
+_ZEROS = zeros(BLOCKS, FACTOR, op.SEED)
 
 
 @register("inject_zeros", query(_ZEROS, "cells", "positives"))

@@ -114,8 +114,12 @@ def query(body: str, *needs: str) -> str:
     return f"with {ctes}\n{body}" if ctes else body
 
 
-def zeros(blocks: int, factor: float, seed: int, draws: int) -> str:
-    """Zero cells by the same numbered draws: the first free ones of each block."""
+def zeros(blocks: int, factor: float, seed: int) -> str:
+    """Zero cells by the same numbered draws: the first free ones of each block.
+
+    The number of draws, four times the zeros wanted and some, is ample for a sparse matrix.
+    """
+
     def number(start: int, bound: str) -> str:
         return f"concat('0x', substr(digest, {start}, 15))::BIGINT % {bound}"
 
@@ -123,10 +127,12 @@ def zeros(blocks: int, factor: float, seed: int, draws: int) -> str:
       select *, row_number() over (partition by block order by draw) as place from (
         select block, row, col, min(draw) as draw from (
           select block, draw, block * size + {number(1, 'block_rows')} as row, {number(16, 'c')} as col from (
-            select block, draw, size, c, least(size, p - block * size) as block_rows,
+            select *, least(size, p - block * size) as block_rows,
                    md5(concat_ws(':', '{seed}', block::VARCHAR, draw::VARCHAR)) as digest
-            from (select p, c, (p - 1) // {blocks} + 1 as size from shape),
-                 range(0, {blocks}) b(block), range(0, {draws}) d(draw)
+            from (select block, p, c, size, unnest(range(0, draws)) as draw
+                  from (select p, c, (p - 1) // {blocks} + 1 as size,
+                               4 * (select count(*) from cells) // {blocks} + 1000 as draws from shape),
+                       range(0, {blocks}) b(block))
             where block * size < p))
         group by block, row, col)
       where (row, col) not in (select (row, col) from positives))

@@ -64,7 +64,8 @@ def merge_shards(placed: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
     # One number per shard.
     all_sizes = F.array(*(F.lit(r["size"]).cast("bigint") for r in sizes.collect()))
     start = F.col("chunk") * chunk_size
-    chunks = sizes.select("shard", "size", F.explode(F.sequence(F.lit(0), div(F.col("size") - 1, chunk_size))).alias("chunk"))
+    numbers = F.sequence(F.lit(0), div(F.col("size") - 1, chunk_size))
+    chunks = sizes.select("shard", "size", F.explode(numbers).alias("chunk"))
     records = F.least(F.lit(chunk_size).cast("bigint"), F.col("size") - start)
     earlier_chunks = F.aggregate(
         all_sizes, F.lit(0).cast("bigint"), lambda total, size: total + F.least(size, start)

@@ -72,10 +72,15 @@ def lookup_join(
     return left.join(right, [*on, "_slice"], how).drop("_slice")
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int, most: int = MAX_HOT) -> DataFrame:
-    """``(*on, _rows)`` of keys with more than ``hot_rows`` rows; less than ``most`` of them."""
+def frequent_keys(facts: DataFrame, on: Sequence[str], rows: int) -> DataFrame:
+    """``(*on, _rows)``, written: keys with more than ``rows`` rows."""
     counts = facts.where(~_any_null(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = written(counts.where(F.col("_rows") > hot_rows), "hot-keys")
+    return written(counts.where(F.col("_rows") > rows), "frequent-keys")
+
+
+def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int, most: int = MAX_HOT) -> DataFrame:
+    """The most frequent of the :func:`frequent_keys`; less than ``most`` of them."""
+    hot = frequent_keys(facts, on, hot_rows)
     keys, rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     # Fewer than ``most`` keys can have more than one in ``most`` of all these rows.
     return hot if keys < most else hot.where(F.col("_rows") > rows // most)

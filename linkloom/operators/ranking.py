@@ -10,16 +10,15 @@ from linkloom.functions.views import count_field, is_decodable, last_field, proj
 from linkloom.functions.text import is_internal, parse_int
 from linkloom.operators.lookup import lookup_join
 from linkloom.operators.positions import with_positions
+from linkloom.runtime import written
 
 # Above this many rows a top-n is cut by position; below, each task keeps its own top n.
 SMALL_TOP = 100_000
 
-_RANK = (F.desc, "count"), (F.asc, "page_title")
-
 
 def rank_order() -> list[Column]:
     """Count descending; equal counts by title."""
-    return [direction(name) for direction, name in _RANK]
+    return [F.desc("count"), F.asc("page_title")]
 
 
 def _in_project(project: str) -> Column:
@@ -140,10 +139,13 @@ def top_n_pages(counts: DataFrame, n: int) -> DataFrame:
 
 
 def _top_by_position(counts: DataFrame, n: int) -> DataFrame:
+    # Read twice below; without this, so would be all the logs.
+    counts = written(counts, "counts")
     # Pages per count value: N different values need about N*N/2 views, so this stays small.
     per_count = counts.groupBy("count").agg(F.count(F.lit(1)).alias("_pages"))
     reached = F.sum("_pages").over(Window.orderBy(F.desc("count")))
-    floor = per_count.withColumn("_reached", reached).where(F.col("_reached") >= n).agg(F.max("count")).first()[0]
+    enough = per_count.withColumn("_reached", reached).where(F.col("_reached") >= n)
+    floor = enough.agg(F.max("count")).first()[0]
     candidates = counts if floor is None else counts.where(F.col("count") >= floor)
     placed = with_positions(candidates, *rank_order(), name="_place")
     return placed.where(F.col("_place") < n).drop("_place").orderBy(*rank_order())

@@ -53,6 +53,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(workspace(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the stored copy.
 

@@ -94,6 +94,8 @@ def write_coo(cells: DataFrame, folder: str, shards: int) -> None:
                     filesystem, base = open_path(folder)
                     filesystem.create_dir(base)
                     name, sink = file, filesystem.open_output_stream(f"{base}/{file}")
+                if max(part["row"].max(), part["col"].max()) >= 1 << 32:
+                    raise ValueError("the binary form holds 32-bit rows and columns only; use Parquet")
                 data = np.empty(len(part), RECORD)
                 for column in RECORD.names:
                     data[column] = part[column].to_numpy()
