@@ -17,12 +17,13 @@ from linkloom.functions.cells import div
 from linkloom.operators.links import build_cells
 from linkloom.operators.positions import with_positions
 from linkloom.operators.zeros import dedupe_cells
-from linkloom.plans.entity_vectors import Dictionaries, make_dictionaries
+from linkloom.plans.entity_vectors import Dictionaries, make_dictionaries, training_cells
 from linkloom.runtime import new_path, ship_package, written
 from linkloom.sources.coo import open_path
 
 THRESHOLD = 50
 TUPLES_PER_LINE = 50
+SHARDS = 4
 
 # One view-log line per line item; every title form occurs: plain, with spaces, internal.
 VIEWS_SQL = """
@@ -220,6 +221,15 @@ class Inputs:
         return self._once("positives", lambda: written(dedupe_cells(self.cells), "positives"))
 
 
+    @property
+    def training_cells(self) -> DataFrame:
+        """Deduplicated cells with about as many zeros."""
+        return self._once(
+            "training-cells",
+            lambda: written(training_cells(self.cells, self.dictionaries.shape(), SHARDS), "training-cells"),
+        ).select("row", "col", "value")
+
+
 def _write_files(lines: DataFrame, folder: str) -> None:
     """Write ``value`` lines to the files ``name``, one task per file, in order of part and value."""
     ship_package(lines.sparkSession)
