@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontamination, exact_dedup, language_id, mixing, near_dedup
+from linkloom.llm import decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_passages": passages.op1_passages,
+    "op2_warc": warc.op2_warc,
     "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_near_dedup": near_dedup.op5_near_dedup,
+    "op6_extraction": extraction.op6_extraction,
     "op7_decontamination": decontamination.op7_decontamination,
+    "op8_pii": pii.op8_pii,
+    "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": language_id.op10_language_id,
 }
 
