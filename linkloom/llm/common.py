@@ -11,7 +11,7 @@ from linkloom.operators.lookup import lookup_join
 from linkloom.runtime import new_path, ship_package, workspace, written
 
 __all__ = [
-    "attach", "drop_documents", "first_rows", "fresh", "ids_not_kept", "new_path", "ship_package", "table", "workspace", "written",
+    "attach", "drop_documents", "first_rows", "fresh", "ids_not_kept", "new_path", "packed", "ship_package", "table", "workspace", "written",
 ]
 
 # A lookup is broadcast up to this measured size; a larger one is joined by key.
@@ -46,10 +46,14 @@ def ids_not_kept(decisions: DataFrame, id_col: str, kept: Column) -> DataFrame:
     return written(fate.where(~F.col("_kept")).select(id_col), "dropped-ids")
 
 
+def packed(docs: DataFrame, *keys: str | Column) -> DataFrame:
+    """``row, *keys``: whole rows in one column, so that their other columns meet no name used on the way."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys)
+
+
 def drop_documents(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
     """``docs`` without the documents in ``dropped``, a written table of ids. A null id is in no such table."""
-    others = [c for c in docs.columns if c != id_col]
-    return attach(docs, dropped, [id_col], "left_anti", spread_by=[id_col]).select(id_col, *others).select(*docs.columns)
+    return attach(packed(docs, id_col), dropped, [id_col], "left_anti", spread_by=[id_col]).select("row.*")
 
 
 def first_rows(docs: DataFrame, keys: Sequence[Column]) -> DataFrame:

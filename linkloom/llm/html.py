@@ -56,7 +56,7 @@ def _attributes(tag: str) -> dict[str, str]:
 
 def _role(name: str, tag: str, in_article: bool) -> str | None:
     """What an element makes of its content, if it makes anything of it."""
-    attributes = _attributes(tag) if "=" in tag or " " in tag.strip() else {}
+    attributes = _attributes(tag) if tag.strip() else {}
     role = attributes.get("role", "").lower()
     words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
     if name in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or (name not in ("html", "body") and words & BOILERPLATE_WORDS):

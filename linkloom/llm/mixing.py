@@ -24,7 +24,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import fresh, table
+from linkloom.llm.common import fresh, packed, table
 from linkloom.operators.positions import with_positions
 
 # Slots of each named source in a frame, and of all others together.
@@ -65,33 +65,23 @@ def mix(
         raise ValueError("weights and block_rows must be positive")
     names, shares = list(weights), [*weights.values(), rest]
     slots = sum(shares)
-    group, hashed, position = f"{prefix}group", f"{prefix}hash", f"{prefix}position"
     number = F.lit(len(names))
     for i, name in enumerate(names):
         number = F.when(F.col(source_col) == name, i).otherwise(number)
     order = F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 16)
-    rows = docs.withColumn(group, number).withColumn(hashed, order)
-    rows = with_positions(rows, group, hashed, id_col, name=position, copies=True).drop(hashed)
+    rows = packed(docs, number.alias("number"), order.alias("hash"), F.col(id_col).alias("id"))
+    rows = with_positions(rows, "number", "hash", "id", name="position", copies=True).drop("hash", "id")
     # One row per named source, and one row per slot of a frame.
-    starts = rows.groupBy(group).agg(F.min(position).alias(f"{prefix}start"))
-    share = F.element_at(F.array(*[F.lit(a) for a in shares]), F.col(group) + 1)
+    starts = rows.groupBy("number").agg(F.min("position").alias("start"))
     listed = ", ".join(str(row) for row in frame_schedule(shares))
-    frame = docs.sparkSession.sql(f"select * from values {listed} as t(g, j, at, r, d)").select(
-        F.col("g").alias(group), *[F.col(c).alias(f"{prefix}frame_{c}") for c in ("j", "at", "r", "d")]
-    )
-    rank = F.col(position) - F.col(f"{prefix}start")
-    rows = rows.join(F.broadcast(starts), group).withColumn(f"{prefix}block", F.floor(rank / block_rows))
-    rows = rows.withColumn(f"{prefix}place", rank % block_rows).withColumn(f"{prefix}round", F.floor(F.col(f"{prefix}block") / share))
-    rows = rows.withColumn(f"{prefix}frame_j", (F.col(f"{prefix}block") - F.col(f"{prefix}round") * share).cast("int"))
-    begin = F.col(f"{prefix}round") * slots
-    return rows.join(F.broadcast(frame), [group, f"{prefix}frame_j"]).select(
-        *docs.columns,
-        (begin + F.col(f"{prefix}frame_at")).alias(f"{prefix}slot"),
-        f"{prefix}place",
-        f"{prefix}block",
-        (begin + F.col(f"{prefix}frame_r")).alias(f"{prefix}release"),
-        (begin + F.col(f"{prefix}frame_d")).alias(f"{prefix}deadline"),
-    )
+    frame = docs.sparkSession.sql(f"select * from values {listed} as t(number, turn, at, released, due)")
+    rank, share = F.col("position") - F.col("start"), F.element_at(F.array(*[F.lit(a) for a in shares]), F.col("number") + 1)
+    rows = rows.join(F.broadcast(starts), "number").withColumn("block", F.floor(rank / block_rows)).withColumn("place", rank % block_rows)
+    rows = rows.withColumn("frame", F.floor(F.col("block") / share))
+    rows = rows.withColumn("turn", (F.col("block") - F.col("frame") * share).cast("int"))
+    begin = F.col("frame") * slots
+    values = {"slot": begin + F.col("at"), "place": F.col("place"), "block": F.col("block"), "release": begin + F.col("released"), "deadline": begin + F.col("due")}
+    return rows.join(F.broadcast(frame), ["number", "turn"]).select("row.*", *[v.alias(prefix + n) for n, v in values.items()])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
