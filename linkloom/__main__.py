@@ -43,11 +43,12 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     options = vars(parser().parse_args(arguments))
     run = options.pop("run")
-    run(SparkSession.builder.appName("linkloom").getOrCreate(), **options)
+    spark = SparkSession.builder.appName("linkloom").getOrCreate()
+    try:
+        run(spark, **options)
+    finally:
+        clear_workspace(spark)
 
 
 if __name__ == "__main__":
-    try:
-        main()
-    finally:
-        clear_workspace(SparkSession.builder.getOrCreate())
+    main()

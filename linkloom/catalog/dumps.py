@@ -52,7 +52,7 @@ def read_id_list(t: Inputs) -> DataFrame:
 @register(
     "scan_dump",
     query(
-        f"""select line * 2 + 1 as line_no, value from ({dump_lines('page')})
+        f"""select line * 2 + 1 as line_no, value from ({dump_lines('page', raw=True)})
             union all {_OTHERS.format('page')}
             union all select max(line) * 2 + 3, '' from page_lines""",
         "page_lines",

@@ -167,7 +167,9 @@ class Inputs:
             rows = getattr(self, table).select(*order, F.expr(text).alias("tuple"))
             placed = with_positions(rows, *order, name="pos").withColumn("line", div(F.col("pos"), TUPLES_PER_LINE))
             grouped = placed.groupBy("line").agg(F.array_sort(F.collect_list(F.struct("pos", "tuple"))).alias("t"))
-            tuples = F.array_join(F.transform("t", lambda t: t["tuple"]), ",")
+            items = F.transform("t", lambda t: t["tuple"])
+            # Some lines have blanks between their tuples.
+            tuples = F.when(F.col("line") % 3 == 1, F.array_join(items, " , ")).otherwise(F.array_join(items, ","))
             inserts = written(
                 grouped.select("line", F.concat(F.lit(f"INSERT INTO `{table}` VALUES "), tuples, F.lit(";")).alias("value")),
                 "inserts",

@@ -52,11 +52,13 @@ def min_links(t: Inputs) -> DataFrame:
 @register(
     "link_counts",
     query(
-        f"""select * from (select page_id, page_title,
-              (select count(*) from pagelinks where pl_namespace = page_namespace and pl_title = page_title) as inlinks,
-              (select count(*) from pagelinks where pl_from = page_id) as outlinks from page)
-            where inlinks + outlinks >= {THRESHOLD}""",
-        "pagelinks",
+        f"""select p.page_title, p.page_id, coalesce(ends.n, 0) as inlinks, coalesce(starts.n, 0) as outlinks
+            from page p
+            left join (select pl_title, pl_namespace, count(*) as n from pagelinks group by all) ends
+              on ends.pl_title = p.page_title and ends.pl_namespace = p.page_namespace
+            left join (select pl_from, count(*) as n from pagelinks group by all) starts on starts.pl_from = p.page_id
+            where coalesce(ends.n, 0) + coalesce(starts.n, 0) >= {THRESHOLD}""",
+        "page", "pagelinks",
     ),
 )
 def link_counts(t: Inputs) -> DataFrame:
@@ -71,7 +73,10 @@ def distinct_categories(t: Inputs) -> DataFrame:
 
 @register(
     "category_pages",
-    query("select distinct cl_to from categorylinks join kept on cl_to = page_title", "categorylinks", "kept"),
+    query(
+        "select cl_to from categorylinks where exists (from kept where kept.page_title = cl_to) group by cl_to",
+        "categorylinks", "kept",
+    ),
 )
 def category_pages(t: Inputs) -> DataFrame:
     return op.category_pages(op.kept_pages(t.page, t.pagelinks, THRESHOLD), t.categorylinks)

@@ -24,10 +24,15 @@ def crc32(text: str) -> str:
         lambda bits, step: xor(bits >> 1, CASE WHEN bits & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
 
 
-def dump_lines(table: str, source: str | None = None) -> str:
-    """Insert lines of a table as ``(line, value)``; ``source`` may narrow the rows, not the line numbers."""
+def dump_lines(table: str, source: str | None = None, raw: bool = False) -> str:
+    """Insert lines of a table as ``(line, value)``; ``source`` may narrow the rows, not the line numbers.
+
+    ``raw`` lines have the blanks of the dump between tuples, which filtered lines lose.
+    """
     text, _ = DUMPS[table]
-    return f"""select line, concat('INSERT INTO `{table}` VALUES ', string_agg(tuple, ',' order by pos), ';') as value
+    between = "case when line % 3 = 1 then ' , ' else ',' end" if raw else "','"
+    tuples = f"array_to_string(list(tuple order by pos), {between})"
+    return f"""select line, concat('INSERT INTO `{table}` VALUES ', {tuples}, ';') as value
       from (select line, pos, {text} as tuple from {source or table + '_lines'}) group by line"""
 
 

@@ -17,8 +17,9 @@ _FIELD = rf"(?:[^',\\]++|\\.|{_QUOTED})*+"
 
 IS_INSERT = r"(?s)INSERT INTO `.*` VALUES \(.*\);"
 INSERT_HEAD = r"(?s)INSERT INTO `(.*?)` VALUES \("
-# \G ties every match to the end of the one before, so text between tuples ends the list.
-NEXT_TUPLE = rf"(?s)\G(?:^|,)({_TUPLE})"
+# \G ties every match to the end of the one before, so other text between tuples ends the list.
+NEXT_TUPLE = rf"(?s)\G(?:^|\s*+,\s*+){_TUPLE}"
+LIST_END = r"^\s*+;"
 NEXT_FIELD = rf"(?s)(?:^|,)({_FIELD})"
 
 
@@ -35,13 +36,18 @@ def insert_parts(line: Column) -> Column:
 
 
 def tuple_list(body: Column) -> Column:
-    """Tuples of the body of an insert line, with their parentheses."""
-    return F.regexp_extract_all(body, F.lit(NEXT_TUPLE), 1)
+    """Tuples of the body of an insert line, each with the separator before it; see :func:`bare_tuple`."""
+    return F.regexp_extract_all(body, F.lit(NEXT_TUPLE), 0)
+
+
+def bare_tuple(item: Column) -> Column:
+    """An item of :func:`tuple_list` from its opening parenthesis on."""
+    return F.ltrim(item, F.lit(", \t\n\x0b\f\r"))
 
 
 def is_complete(body: Column, tuples: Column) -> Column:
-    """Whether the comma-separated tuples reach up to the closing semicolon."""
-    return F.substring(body, F.length(F.array_join(tuples, ",")) + 1, F.lit(1)) == ";"
+    """Whether nothing but white space is left between the tuples and the closing semicolon."""
+    return F.substring(body, F.length(F.array_join(tuples, "")) + 1, F.length(body)).rlike(LIST_END)
 
 
 def raw_fields(tuple_text: Column) -> Column:

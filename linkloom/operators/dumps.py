@@ -10,9 +10,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.dump import field_value, insert_parts, is_complete, is_insert, raw_fields, tuple_list
+from linkloom.functions.dump import bare_tuple, field_value, insert_parts, is_complete, is_insert, raw_fields, tuple_list
 from linkloom.functions.text import bytes_to_text, parse_int, text_to_bytes
 from linkloom.operators.lookup import lookup_join
+from linkloom.runtime import written
 
 # Place of a line in its input.
 PLACE = ("file", "block", "slot")
@@ -67,7 +68,8 @@ def parse_dump_tuples(lines: DataFrame, on_error: str = "fail") -> DataFrame:
         tuples = F.when(F.col("_complete"), F.col("_tuples")).otherwise(F.raise_error(message).cast("array<string>"))
     else:
         raise ValueError(f"on_error must be 'fail' or 'drop', not {on_error!r}")
-    exploded = inserts.select(*kept, "table", F.posexplode(tuples).alias("pos", "tuple"))
+    exploded = inserts.select(*kept, "table", F.posexplode(tuples).alias("pos", "_item"))
+    exploded = exploded.select(*kept, "table", "pos", bare_tuple(F.col("_item")).alias("tuple"))
     return _once(exploded, "fields", raw_fields(F.col("tuple")))
 
 
@@ -139,14 +141,15 @@ def require_int_key(tuples: DataFrame) -> DataFrame:
 def semi_by_id(tuples: DataFrame, ids: DataFrame) -> DataFrame:
     """Tuples whose first field is one of ``ids.id``."""
     keyed = _once(tuples, "_id", parse_int(field(ID_FIELD)))
-    return lookup_join(keyed, ids.select(F.col("id").alias("_id")), ["_id"], "left_semi", _spread(tuples)).drop("_id")
+    wanted = ids.select(F.col("id").alias("_id"))
+    return lookup_join(keyed, wanted, ["_id"], "left_semi", _spread(tuples), stored=False).drop("_id")
 
 
 def semi_by_title(tuples: DataFrame, titles: DataFrame) -> DataFrame:
     """Tuples whose third field is one of ``titles.page_title``; too short ones pass."""
     keyed = _once(tuples, "_title", field(TITLE_FIELD))
-    known = titles.select(F.col("page_title").alias("_title"), F.lit(True).alias("_known")).distinct()
-    marked = lookup_join(keyed, known, ["_title"], "left", _spread(tuples))
+    known = written(titles.select(F.col("page_title").alias("_title"), F.lit(True).alias("_known")).distinct(), "titles")
+    marked = lookup_join(keyed, known, ["_title"], "left", _spread(tuples), stored=False)
     return marked.where(F.col("_known") | _lacks(TITLE_FIELD)).drop("_title", "_known")
 
 

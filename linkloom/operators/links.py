@@ -93,13 +93,14 @@ def name_ids(dictionary: DataFrame) -> DataFrame:
 
 def lookup_id(names: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Add ``id`` to a column ``name``: its id in the dictionary, -1 if unknown."""
-    found = lookup_join(with_link_row(names), name_ids(dictionary), ["name"], "left", spread_by=["_row"])
+    ids = written(name_ids(dictionary), "name-ids")
+    found = lookup_join(with_link_row(names), ids, ["name"], "left", spread_by=["_row"])
     return found.withColumn("id", F.coalesce("id", F.lit(-1))).drop("_row")
 
 
 def in_dictionary(page: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(page_id, page_title, id)``: pages whose title is in the dictionary."""
-    ids = name_ids(dictionary).withColumnRenamed("name", "page_title")
+    ids = written(name_ids(dictionary).withColumnRenamed("name", "page_title"), "title-ids")
     found = lookup_join(page.select("page_id", "page_title"), ids, ["page_title"], spread_by=["page_id"])
     return found.select("page_id", "page_title", "id")
 

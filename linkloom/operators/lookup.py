@@ -16,8 +16,6 @@ from linkloom.runtime import written
 BROADCAST_BYTES = 128 << 20
 # Keys with more rows than this are spread over several tasks, one per this many rows.
 HOT_ROWS = 1_000_000
-# No more keys than this are treated as hot: the hottest ones.
-MAX_HOT = 200_000
 
 _ROW_OVERHEAD = 48
 
@@ -40,6 +38,8 @@ def lookup_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     counted: DataFrame | None = None,
+    stored: bool = True,
+    hot: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -51,21 +51,29 @@ def lookup_join(
     slice given by a hash of ``spread_by``. Pass stored columns which tell the rows of a
     key apart, so that the slice of a row is the same when a task is run again.
     ``lookup`` is read twice and should be a file or written table. So are ``facts`` if
-    keys must be counted; ``counted`` may name a cheaper table with at least their keys.
+    keys must be counted; ``counted`` may name a cheaper table with at least their keys,
+    ``hot`` may be the result of :func:`frequent_keys`, and facts that are not ``stored``
+    are written before they are counted.
     """
     on = list(on)
     if stored_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on, how)
 
     slices = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("bigint")
-    hot = hot_keys(facts if counted is None else counted, on, hot_rows).select(*on, slices.alias("_slices"))
+    if hot is None:
+        if counted is None and not stored:
+            facts = written(facts, "facts")
+        hot = frequent_keys(facts if counted is None else counted, on, hot_rows)
+    hot = hot.select(*on, slices.alias("_slices"))
+    if stored_bytes(hot) <= broadcast_bytes:
+        hot = F.broadcast(hot)
     slices = F.coalesce(F.col("_slices"), F.lit(1).cast("bigint"))
     spread = F.xxhash64(*(spread_by or facts.columns))
     # A missing key matches nothing; spreading such rows keeps them out of one task.
     slice_of = F.when(_any_null(on), spread).otherwise(F.pmod(spread, slices))
-    left = facts.join(F.broadcast(hot), on, "left").withColumn("_slice", slice_of).drop("_slices")
+    left = facts.join(hot, on, "left").withColumn("_slice", slice_of).drop("_slices")
     right = (
-        lookup.join(F.broadcast(hot), on, "left")
+        lookup.join(hot, on, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
         .drop("_slices")
     )
@@ -78,13 +86,5 @@ def frequent_keys(facts: DataFrame, on: Sequence[str], rows: int) -> DataFrame:
     return written(counts.where(F.col("_rows") > rows), "frequent-keys")
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int, most: int = MAX_HOT) -> DataFrame:
-    """The most frequent of the :func:`frequent_keys`; less than ``most`` of them."""
-    hot = frequent_keys(facts, on, hot_rows)
-    keys, rows = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
-    # Fewer than ``most`` keys can have more than one in ``most`` of all these rows.
-    return hot if keys < most else hot.where(F.col("_rows") > rows // most)
-
-
 def _any_null(columns: Sequence[str]):
     return reduce(or_, (F.col(c).isNull() for c in columns))

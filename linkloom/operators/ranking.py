@@ -12,8 +12,8 @@ from linkloom.operators.lookup import lookup_join
 from linkloom.operators.positions import with_positions
 from linkloom.runtime import written
 
-# Above this many rows a top-n is cut by position; below, each task keeps its own top n.
-SMALL_TOP = 100_000
+# Above this many rows a top-n is cut by position; below, each task sends its own top n to one task.
+SMALL_TOP = 1_000
 
 
 def rank_order() -> list[Column]:
@@ -34,13 +34,15 @@ def first_project_run(lines: DataFrame, project: str = "en") -> DataFrame:
     """Per file, only the first unbroken run of lines of the project.
 
     On files sorted by project this equals :func:`filter_project`, which costs one
-    scan; this one needs three, but moves only one row per file and task.
+    scan; this one needs three: where the run begins, where it ends, and its lines.
+    The first two move one row per file and task.
     """
     place = F.struct("block", "slot")
     mine = lines.where(_in_project(project))
-    begin = mine.groupBy("file").agg(F.min(place).alias("_begin"))
+    begin = written(mine.groupBy("file").agg(F.min(place).alias("_begin")), "run-begins")
     others = lookup_join(lines.where(~_in_project(project)), begin, ["file"], spread_by=["slot"])
-    end = others.where(place > F.col("_begin")).groupBy("file").agg(F.min(place).alias("_end"))
+    others = others.where(place > F.col("_begin"))
+    end = written(others.groupBy("file").agg(F.min(place).alias("_end")), "run-ends")
     return (
         lookup_join(mine, end, ["file"], "left", spread_by=["slot"])
         .where(F.col("_end").isNull() | (place < F.col("_end")))

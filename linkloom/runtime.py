@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_used: set[str] = set()
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -50,15 +51,28 @@ def workspace(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
+    _used.add(spark.sparkContext.applicationId)
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def clear_workspace(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this application."""
+    """Delete the intermediate tables of this application, if it has made any."""
+    if spark.sparkContext.applicationId not in _used:
+        return
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(workspace(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the stored copy.
 

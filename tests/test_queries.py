@@ -8,8 +8,6 @@ from linkloom.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
-# Solvers give other vectors on other partitionings; test_factors.py checks them.
-ROWS_ONLY = {"fit_embeddings", "resume_training", "loss_history", "entity_job"}
 
 
 @pytest.fixture(scope="module")
@@ -25,8 +23,8 @@ def test_query(spark, connection, name):
         assert operator not in plan
 
 
-def test_all_but_solvers_have_sql():
-    assert QUERIES.keys() - ORACLES.keys() == ROWS_ONLY
+def test_all_have_sql():
+    assert QUERIES.keys() == ORACLES.keys()
     assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys() <= queries().keys()
 
 
