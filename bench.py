@@ -17,7 +17,8 @@ from linkloom.runtime import local_session
 HEADLINE = (
     "ranking_job", "top_n_pages", "sum_by_title", "parse_dump_tuples", "semi_by_title", "dump_job",
     "write_filtered_dump", "min_links", "link_counts", "union_link_families", "dedupe_cells", "inject_zeros",
-    "batch_merged", "read_coo", "fit_embeddings", "loss_history",
+    "batch_merged", "read_coo", "fit_embeddings", "loss_history", "semi_by_title_large", "gather_factors_large",
+    "first_project_run", "entity_job",
 )
 RUNS = 3
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.catalog.inputs import Inputs, place_columns
+from linkloom.catalog.inputs import Inputs, place_columns, write_files
 from linkloom.catalog.oracle import dump_lines, query
 from linkloom.catalog.registry import register
 from linkloom.functions.text import parse_int, text_to_bytes
 from linkloom.operators import dumps as op
 from linkloom.operators.positions import number_lines
 from linkloom.plans.dump_filter import filter_dumps, filter_tuples
+from linkloom.plans.files import filter_file
 from linkloom.runtime import new_path, written
 from linkloom.sources import lines as source
 from linkloom.sources import sinks
@@ -62,6 +65,44 @@ def scan_dump(t: Inputs) -> DataFrame:
     return source.scan_dump(t.spark, t.dump("page")).select("line_no", "value")
 
 
+# Files whose names differ in length and hold numbers; the order is that of the list.
+_FILES = ("aa.sql", "b.sql", "part-9.sql", "part-10.sql", "part-100.sql")
+_FILE_CHUNK = 7
+_FILE_LINE = "concat('INSERT INTO `page` VALUES (', cast(page_id as string), ');')"
+_FILE_LINES = f"""select row_number() over (order by page_id % {len(_FILES)}, page_id) - 1 as line_no,
+  {_FILE_LINE.replace('string', 'varchar')} as value, page_id::VARCHAR as id from page"""
+
+
+@register(
+    "file_order",
+    query(
+        f"""with lines as ({_FILE_LINES})
+            select 'dump' as output, 0::BIGINT as chunk, line_no, value from lines
+            union all select 'ids', 0, line_no, id from lines
+            union all select 'chunks', line_no // {_FILE_CHUNK}, line_no % {_FILE_CHUNK}, value from lines
+            union all select 'id chunks', line_no // {_FILE_CHUNK}, line_no % {_FILE_CHUNK}, id from lines""",
+        "page",
+    ).replace("with lines as", ", lines as", 1),
+)
+def file_order(t: Inputs) -> DataFrame:
+    """A dump of several files through the filter job, with and without chunks."""
+    name = F.element_at(F.array(*[F.lit(f) for f in _FILES]), (F.col("page_id") % len(_FILES) + 1).cast("int"))
+    lines = t.page.select(name.alias("name"), F.col("page_id").alias("part"), F.expr(_FILE_LINE).alias("value"), F.lit(True).alias("plain"))
+    folder = new_path(t.spark, "many-files")
+    write_files(lines, folder)
+    parts = []
+    for label, size in (("", 0), ("chunk", _FILE_CHUNK)):
+        dump, ids = new_path(t.spark, "ordered-dump"), new_path(t.spark, "ordered-ids")
+        filter_file(t.spark, folder, dump, index_output=ids, chunk_size=size)
+        for path, kind in ((dump, "chunks" if size else "dump"), (ids, "id chunks" if size else "ids")):
+            read = number_lines(source.read_lines(t.spark, path))
+            chunk = F.regexp_extract("file", r"chunk=(\d+)", 1).try_cast("bigint")
+            read = read.select("line_no", "value", F.coalesce(chunk, F.lit(0).cast("bigint")).alias("chunk"))
+            first = F.min("line_no").over(Window.partitionBy("chunk"))
+            parts.append(read.select(F.lit(kind).alias("output"), "chunk", (F.col("line_no") - first).alias("line_no"), "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("parse_dump_tuples", query("select * from page", "page"))
 def parse_dump_tuples(t: Inputs) -> DataFrame:
     return op.as_table(_tuples(t, "page"), op.PAGE)
@@ -169,12 +210,25 @@ def semi_by_id(t: Inputs) -> DataFrame:
     return kept.select(op.tuple_id().alias("pl_from"), op.field(2).alias("pl_title"))
 
 
-@register("semi_by_title", query(f"select pl_from, pl_title from pagelinks where pl_title in ({_TITLES})", "pagelinks"))
-def semi_by_title(t: Inputs) -> DataFrame:
-    kept = op.semi_by_title(_tuples(t, "pagelinks"), _titles(t))
+_BY_TITLE = query(f"select pl_from, pl_title from pagelinks where pl_title in ({_TITLES})", "pagelinks")
+
+
+def _links_by_title(t: Inputs, **limits: int) -> DataFrame:
+    kept = op.semi_by_title(_tuples(t, "pagelinks"), _titles(t), **limits)
     return kept.select(op.tuple_id().alias("pl_from"), op.field(2).alias("pl_title"))
 
 
+@register("semi_by_title", _BY_TITLE)
+def semi_by_title(t: Inputs) -> DataFrame:
+    return _links_by_title(t)
+
+
+@register("semi_by_title_large", _BY_TITLE)
+def semi_by_title_large(t: Inputs) -> DataFrame:
+    """The same as if the titles were too many to broadcast and popular ones had too many links for a task."""
+    return _links_by_title(t, broadcast_bytes=1 << 10, hot_rows=500)
+
+
 _FILTERED = f"""(select * from pagelinks_lines where pl_namespace = 0
   and pl_from in ({_IDS}) and pl_title in ({_TITLES}))"""
 

@@ -33,7 +33,7 @@ select concat_ws(' ', case l_returnflag when 'A' then 'en' when 'N' then 'en.m'
               when p_size % 10 = 2 then concat(p_name, ' (', cast(p_partkey as string), ')')
               else concat(replace(p_name, ' ', '_'), '_(', cast(p_partkey as string), ')') end,
          cast(cast(l_quantity as int) as string), cast(l_linenumber as string)) as value,
-       l_suppkey % 24 as hour, l_linenumber as part
+       cast(floor(l_orderkey / 20000) as int) as day, l_suppkey % 24 as hour, l_linenumber as part
 from lineitem join part on l_partkey = p_partkey
 """
 
@@ -144,9 +144,10 @@ class Inputs:
 
         def make() -> str:
             folder = new_path(self.spark, "view-logs")
-            name = F.format_string("pageviews-20190101-%02d0000.gz", "hour")
+            # One file per day and hour, so that their number grows with the data.
+            name = F.format_string("pageviews-%d-%02d0000.gz", F.col("day") + 20190101, "hour")
             lines = self.views.select(name.alias("name"), "part", "value", (F.col("hour") < broken_below).alias("plain"))
-            _write_files(lines, folder)
+            write_files(lines, folder)
             return folder
 
         return self._once(f"view-files-{broken_below}", make)
@@ -232,7 +233,7 @@ class Inputs:
         ).select("row", "col", "value")
 
 
-def _write_files(lines: DataFrame, folder: str) -> None:
+def write_files(lines: DataFrame, folder: str) -> None:
     """Write ``value`` lines to the files ``name``, one task per file, in order of part and value."""
     ship_package(lines.sparkSession)
     ordered = lines.repartition("name").sortWithinPartitions("name", "part", "value")

@@ -31,7 +31,7 @@ def dump_lines(table: str, source: str | None = None, raw: bool = False) -> str:
     """
     text, _ = DUMPS[table]
     between = "case when line % 3 = 1 then ' , ' else ',' end" if raw else "','"
-    tuples = f"array_to_string(list(tuple order by pos), {between})"
+    tuples = f"replace(string_agg(tuple, chr(1) order by pos), chr(1), {between})"
     return f"""select line, concat('INSERT INTO `{table}` VALUES ', {tuples}, ';') as value
       from (select line, pos, {text} as tuple from {source or table + '_lines'}) group by line"""
 

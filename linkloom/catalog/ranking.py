@@ -31,6 +31,14 @@ def scan_skip_corrupt(t: Inputs) -> DataFrame:
     return source.scan_pageviews(t.spark, t.view_files(broken_below=6), skip_corrupt=True).select("value")
 
 
+@register(
+    "skipped_files",
+    query("select distinct format('pageviews-{}-{:02d}0000.gz', 20190101 + day, hour) as name from views where hour < 6", "views"),
+)
+def skipped_files(t: Inputs) -> DataFrame:
+    return source.skipped_files(t.spark, t.view_files(broken_below=6)).select(F.substring_index("file", "/", -1).alias("name"))
+
+
 @register("decode_pageview", query("select * from decoded", "decoded"))
 def decode_pageview(t: Inputs) -> DataFrame:
     return op.decode_pageviews(t.views)
@@ -60,10 +68,10 @@ def filter_project(t: Inputs) -> DataFrame:
     "first_project_run",
     query(
         """select value from (
-             select *, min(case when not mine and n > first then n end) over (partition by hour) as stop from (
-               select *, min(case when mine then n end) over (partition by hour) as first from (
-                 select hour, value, starts_with(value, 'en ') as mine,
-                   row_number() over (partition by hour order by part, value) as n from views)))
+             select *, min(case when not mine and n > first then n end) over (partition by day, hour) as stop from (
+               select *, min(case when mine then n end) over (partition by day, hour) as first from (
+                 select day, hour, value, starts_with(value, 'en ') as mine,
+                   row_number() over (partition by day, hour order by part, value) as n from views)))
            where mine and (stop is null or n < stop)""",
         "views",
     ),

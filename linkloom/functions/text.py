@@ -39,6 +39,12 @@ def is_internal(title: Column) -> Column:
     return title.contains(":") & title.rlike(INTERNAL_TITLE)
 
 
+def natural_key(path: Column) -> Column:
+    """A text that sorts like ``path`` with its runs of digits compared as numbers of up to twenty digits."""
+    padded = F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"\d*(\d{20})", "$1")
+
+
 def bytes_to_text(value: Column) -> Column:
     """One character per byte, so that patterns neither see nor damage broken UTF-8."""
     return F.decode(value.cast("binary"), "ISO-8859-1")

@@ -138,18 +138,18 @@ def require_int_key(tuples: DataFrame) -> DataFrame:
     return _once(tuples, "id", tuple_id()).where(F.col("id").isNotNull())
 
 
-def semi_by_id(tuples: DataFrame, ids: DataFrame) -> DataFrame:
-    """Tuples whose first field is one of ``ids.id``."""
+def semi_by_id(tuples: DataFrame, ids: DataFrame, **limits: int) -> DataFrame:
+    """Tuples whose first field is one of ``ids.id``; ``limits`` are those of :func:`lookup_join`."""
     keyed = _once(tuples, "_id", parse_int(field(ID_FIELD)))
     wanted = ids.select(F.col("id").alias("_id"))
-    return lookup_join(keyed, wanted, ["_id"], "left_semi", _spread(tuples), stored=False).drop("_id")
+    return lookup_join(keyed, wanted, ["_id"], "left_semi", _spread(tuples), stored=False, **limits).drop("_id")
 
 
-def semi_by_title(tuples: DataFrame, titles: DataFrame) -> DataFrame:
+def semi_by_title(tuples: DataFrame, titles: DataFrame, **limits: int) -> DataFrame:
     """Tuples whose third field is one of ``titles.page_title``; too short ones pass."""
     keyed = _once(tuples, "_title", field(TITLE_FIELD))
     known = written(titles.select(F.col("page_title").alias("_title"), F.lit(True).alias("_known")).distinct(), "titles")
-    marked = lookup_join(keyed, known, ["_title"], "left", _spread(tuples), stored=False)
+    marked = lookup_join(keyed, known, ["_title"], "left", _spread(tuples), stored=False, **limits)
     return marked.where(F.col("_known") | _lacks(TITLE_FIELD)).drop("_title", "_known")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.functions.text import natural_key
 from linkloom.operators.lookup import lookup_join
 from linkloom.runtime import written
 
@@ -43,6 +44,14 @@ def dense_ids(names: DataFrame, *order) -> DataFrame:
     return with_positions(names, *order, name="id").select("id", *names.columns)
 
 
+def file_order() -> list[Column]:
+    """Order of lines over files: by name with numbers compared as such, then by place in the file.
+
+    The only order of lines in this library; ``part-99999`` comes before ``part-100000``.
+    """
+    return [natural_key(F.col("file")), F.col("file"), F.col("block")]
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line_no``, the 0-based line number over all files in name order.
 
@@ -52,7 +61,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     splits = lines.groupBy("file", "block").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("slot").alias("_first")
     )
-    in_order = Window.orderBy(F.length("file"), "file", "block")
+    in_order = Window.orderBy(*file_order())
     starts = written(
         splits.select(
             "file", "block", (F.sum("_rows").over(in_order) - F.col("_rows") - F.col("_first")).alias("_shift")

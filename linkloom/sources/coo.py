@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +25,20 @@ SLICE_RECORDS = 4 << 20
 _CELLS = "shard int, pos bigint, row bigint, col bigint, value float"
 
 
+# Schemes of stores that the tasks can open without the JVM, by the name they have there.
+SCHEMES = {"hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path for tasks that read or write bytes; other stores are refused with a reason."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    scheme, rest = path.split("://", 1)
+    if scheme not in SCHEMES:
+        raise ValueError(f"binary shards cannot be kept under {scheme}://, only under {', '.join(SCHEMES)} or files; use Parquet")
+    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}://{rest}")
 
 
 def read_coo(spark: SparkSession, folder: str, slice_records: int = SLICE_RECORDS) -> DataFrame:
@@ -37,6 +48,7 @@ def read_coo(spark: SparkSession, folder: str, slice_records: int = SLICE_RECORD
     number of tasks. A rest shorter than a record is ignored.
     """
     ship_package(spark)
+    check_scheme(folder)
     width = RECORD.itemsize
     files = (
         spark.read.format("binaryFile")
@@ -78,31 +90,49 @@ def write_coo(cells: DataFrame, folder: str, shards: int) -> None:
     """Shard files for a trainer that reads the binary form; ``cells`` has ``shard`` 0..shards-1.
 
     The format wants one file per shard, so each is written by one task, in batches
-    and in the order of row and column.
+    and in the order of row and column. A task writes under a name of its own attempt and
+    renames the file when it is whole; shards without cells get empty files.
     """
     ship_package(cells.sparkSession)
+    check_scheme(folder)
     named = cells.withColumn("_file", cell_shard_name(F.col("shard").cast("int"), shards))
     ordered = named.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "row", "col")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, sink, written = None, None, 0
+        filesystem, base = open_path(folder)
+        filesystem.create_dir(base)
+        attempt, done, sink = f".attempt-{uuid.uuid4().hex}", [], None
         for batch in batches:
             for file, part in batch.groupby("_file", sort=False):
-                if file != name:
+                if not done or file != done[-1]:
                     if sink is not None:
                         sink.close()
-                    filesystem, base = open_path(folder)
-                    filesystem.create_dir(base)
-                    name, sink = file, filesystem.open_output_stream(f"{base}/{file}")
+                    done.append(file)
+                    sink = filesystem.open_output_stream(f"{base}/{attempt}-{file}")
                 if max(part["row"].max(), part["col"].max()) >= 1 << 32:
                     raise ValueError("the binary form holds 32-bit rows and columns only; use Parquet")
                 data = np.empty(len(part), RECORD)
                 for column in RECORD.names:
                     data[column] = part[column].to_numpy()
                 sink.write(data.tobytes())
-                written += len(part)
         if sink is not None:
             sink.close()
-        yield pd.DataFrame({"written": [written]})
-
-    ordered.select("_file", "row", "col", "value").mapInPandas(write, "written bigint").agg(F.sum("written")).collect()
+        for file in done:
+            filesystem.move(f"{base}/{attempt}-{file}", f"{base}/{file}")
+        yield pd.DataFrame({"name": pd.Series(done, dtype=object)})
+
+    names = ordered.select("_file", "row", "col", "value").mapInPandas(write, "name string")
+    present = {r["name"] for r in names.collect()}  # one per shard
+    filesystem, base = open_path(folder)
+    filesystem.create_dir(base)
+    for shard in range(shards):
+        name = f"data.bin.{shard:05d}-of-{shards:05d}"
+        if name not in present:
+            filesystem.open_output_stream(f"{base}/{name}").close()
+
+
+def check_scheme(folder: str) -> None:
+    """Fail on the driver, before any work, if the tasks could not open the folder."""
+    scheme = folder.split("://", 1)[0] if "://" in folder else "file"
+    if scheme not in (*SCHEMES, "file"):
+        open_path(folder)

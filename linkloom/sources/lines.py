@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import chomp, parse_int, strip
 from linkloom.operators.positions import number_lines
+from linkloom.runtime import ship_package
 
 # Fixed value: names of hourly view logs.
 PAGEVIEW_FILE = r"pageviews-\d+-\d+\.gz"
@@ -34,15 +39,53 @@ def read_lines(
     return lines.drop("_name")
 
 
-def scan_pageviews(spark: SparkSession, folder: str, skip_corrupt: bool = True) -> DataFrame:
+def scan_pageviews(spark: SparkSession, folder: str, skip_corrupt: bool = False) -> DataFrame:
     """Lines of the hourly logs in a folder; other files are left out.
 
-    With ``skip_corrupt`` a file with a bad header gives no lines, and one that
-    breaks off gives the lines before the break.
+    A file that cannot be read fails the job. With ``skip_corrupt`` a file with a bad
+    header gives no lines, and one that breaks off gives the lines before the break;
+    :func:`skipped_files` names such files.
     """
     return read_lines(spark, folder, PAGEVIEW_FILE, skip_corrupt)
 
 
+def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file, reason)`` of the hourly logs that are not whole gzip files.
+
+    Each file is unpacked once more, a piece at a time, by the task that reads it.
+    """
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(path, reason) for path, content in zip(batch["path"], batch["content"]) if (reason := gzip_fault(content))]
+            yield pd.DataFrame(found, columns=["file", "reason"])
+
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "pageviews-*.gz").load(folder)
+    files = files.where(F.col("path").rlike(PAGEVIEW_FILE)).select("path", "content")
+    return files.mapInPandas(check, "file string, reason string")
+
+
+def gzip_fault(content: bytes, piece: int = 1 << 20) -> str | None:
+    """What is wrong with a gzip file, if anything."""
+    if not content:
+        return None
+    unpack, rest = zlib.decompressobj(wbits=31), memoryview(content)
+    try:
+        while len(rest):
+            unpack.decompress(rest[:piece])
+            rest = rest[min(piece, len(rest)) :]
+            if unpack.eof:
+                # A file may hold several members, one after the other.
+                rest = memoryview(bytes(unpack.unused_data) + bytes(rest))
+                unpack = zlib.decompressobj(wbits=31)
+                if not len(rest):
+                    return None
+    except zlib.error as error:
+        return f"not gzip data: {error}"
+    return "breaks off"
+
+
 def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     """Numbered lines of a dump."""
     return number_lines(read_lines(spark, path))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.cells import hash_shard
-from linkloom.operators.dumps import PLACE
+from linkloom.operators.positions import file_order
 from linkloom.operators.ranking import rank_desc, rank_line, rank_order, with_count_shard
 
 
@@ -32,9 +32,8 @@ def write_shard_counts(counts: DataFrame, path: str, shards: int) -> None:
     )
 
 
-
-def _line_order(df: DataFrame) -> list[str]:
-    return ["line_no"] if "line_no" in df.columns else list(PLACE)
+def _line_order(df: DataFrame) -> list[Column]:
+    return [F.col("line_no")] if "line_no" in df.columns else [*file_order(), F.col("slot")]
 
 
 def write_dump(rebuilt: DataFrame, path: str) -> None:

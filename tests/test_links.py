@@ -143,3 +143,19 @@ def test_positions_of_copies(spark):
     rows = with_positions(df, "v", copies=True).orderBy("id").collect()
     assert [r["id"] for r in rows] == list(range(3000))
     assert [r["v"] for r in rows] == sorted(r["v"] for r in rows)
+
+
+def test_unstored_facts_are_computed_once_in_a_join_by_key(spark, tmp_path):
+    """Above the broadcast size, facts that come from a parse are written before their keys are counted."""
+    from linkloom.operators import dumps
+    from linkloom.sources import lines as source
+
+    text = "\n".join(f"INSERT INTO `t` VALUES ({i % 7},0,'T{i % 3}');" for i in range(300))
+    (tmp_path / "d.sql").write_text(text)
+    tuples = dumps.parse_dump_tuples(source.read_lines(spark, str(tmp_path / "d.sql")))
+    titles = written(spark.createDataFrame([("T0",), ("T1",)], "page_title string"), "titles")
+    ids = written(spark.createDataFrame([(1,), (2,)], "id long"), "ids")
+    limits = {"broadcast_bytes": 1, "hot_rows": 20}
+    for kept, rows in ((dumps.semi_by_title(tuples, titles, **limits), 200), (dumps.semi_by_id(tuples, ids, **limits), 86)):
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in plan and kept.count() == rows
