@@ -129,13 +129,15 @@ def training_counts(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 1) -> Model:
     """A model of the labelled rows of ``docs(doc_id, text, lang)``."""
     ship_package(docs.sparkSession)
-    rows = training_counts(docs, per_language).orderBy("order", "lang").toPandas()
-    languages = tuple(sorted(rows["lang"].unique()))
+    rows = training_counts(docs, per_language).orderBy("order", "lang").select("lang", "buckets", "counts").toArrow()
+    names = rows.column("lang").to_pylist()
+    languages = tuple(sorted(set(names)))
     if not languages:
         return Model((), np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0, 0.0)
-    target = np.array([languages.index(x) for x in rows["lang"]])
-    features = list(zip(rows["buckets"], rows["counts"], strict=True))
-    aside = np.arange(len(rows)) % 10 == 9
+    target = np.array([languages.index(x) for x in names])
+    # Slices of the collected arrays, not copies: the sample is the largest thing the driver holds.
+    features = [(b.values.to_numpy(), c.values.to_numpy()) for b, c in zip(rows.column("buckets"), rows.column("counts"), strict=True)]
+    aside = np.arange(len(names)) % 10 == 9
     if aside.sum() < len(languages):
         aside[:] = False
     vectors, layer, bias = _descend(features, target, np.flatnonzero(~aside), len(languages), seed)
