@@ -1,31 +1,30 @@
 """Token counts that follow edits.
 
-The tokenizer cuts a text into pre-tokens, and a pre-token's tokens depend on nothing else. A document
-keeps leaves of about ``LEAF`` pre-tokens with their length and tokens, and over the leaves a
-segment tree of sums. An edit re-encodes from the last leaf that begins well before it to the first
-old leaf boundary after it at which a new pre-token begins: from there on the text is unchanged,
-and a pre-token is found from its beginning onwards. Only the sums above changed leaves are
-written again; a region that has grown or shrunk much is cut into new leaves.
-
-Text before a boundary cannot change its pre-tokens by an edit ``CONTEXT`` characters on: the
-pattern looks no further ahead than two characters.
+The tokenizer cuts a text into pre-tokens, and a pre-token's tokens depend on nothing else. At some
+places a pre-token begins whatever the rest of the text is: before a white space between
+two other characters, and between a letter and a punctuation mark. A document is cut at such places into
+leaves of about ``LEAF_CHARS`` characters, each a run of whole pre-tokens, and keeps their lengths
+and, in a segment tree of sums over them, their tokens. An edit encodes again from the last cut before it to the first cut
+after it, leaving a few characters on both sides which the cuts depend on: these cuts hold as before, so nothing outside
+changes. Only the sums above changed leaves are written again; a region that has grown or
+shrunk much is cut into new leaves.
 
 Defined results: a null or empty text has no tokens and can be edited at 0. Edits are in the characters
 of the text before any of them, do not overlap, and are applied from the last to the first; null replacement counts as
-empty; an edit outside the text is an error. Repeated rows are counted each by itself. An empty table gives an
-empty result; other columns are ignored.
+empty; an edit outside the text is an error. Repeated rows are counted each by itself. A text without
+such places is one leaf. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
-from bisect import bisect_right
+import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,32 +36,21 @@ from linkloom.llm.words import batches_by_bytes
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text before the merges of that vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-LEAF = 32
-CONTEXT = 4
-# Pre-tokens whose counts a task keeps; beyond that it begins anew.
-_CACHE = 400_000
+# Characters of a leaf, at least; and what lies between an edit and the nearest cuts that it leaves alone.
+LEAF_CHARS = 160
+CONTEXT = 2
+# A pre-token of the pattern above begins at each match, as no pre-token holds the characters on both sides.
+CUT = re.compile(r"(?<=\S)\s(?=\S)|(?<=[^\W\d_])(?=[,.;:!?\u3001\u3002\uff01\uff0c\uff1f])")
 
 
-class Counter(dict):
-    """Tokens of each pre-token, encoded when first seen."""
+class Counter:
+    """Counts the tokens of texts under a vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(PATTERN)
-
-    def __missing__(self, piece: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        n = len(self.encoding.encode_ordinary(piece))
-        if len(piece) <= 64:
-            self[piece] = n
-        return n
 
-    def pieces(self, text: str) -> tuple[list[int], list[int]]:
-        """Length and tokens of each pre-token."""
-        found = self.pattern.findall(text)
-        return list(map(len, found)), [self[p] for p in found]
+    def tokens(self, text: str) -> int:
+        return len(self.encoding.encode_ordinary(text))
 
 
 def read_ranks(path: str = TOKENIZER) -> dict[bytes, int]:
@@ -76,16 +64,23 @@ class TokenTree:
     def __init__(self, text: str, counter: Counter):
         self.text, self.counter = text, counter
         self.encoded = 0  # characters encoded for edits
-        self._plant(*self._leaves(*counter.pieces(text)))
-
-    @staticmethod
-    def _leaves(lengths: list[int], tokens: list[int], leaves: int | None = None) -> tuple[list[int], list[int]]:
-        """Lengths and tokens summed up by leaf, ``leaves`` of them or as many as are of usual size."""
-        if not lengths:
-            return [0] * (leaves or 0), [0] * (leaves or 0)
-        leaves = leaves or -(-len(lengths) // LEAF)
-        starts = [i * len(lengths) // leaves for i in range(leaves)]
-        return np.add.reduceat(lengths, starts).tolist(), np.add.reduceat(tokens, starts).tolist()
+        lengths = self._cut(0, len(text))
+        self._plant(lengths, self._count(0, lengths))
+
+    def _cut(self, begin: int, end: int, size: int = LEAF_CHARS) -> list[int]:
+        """Lengths of the leaves of the characters ``begin`` to ``end``."""
+        lengths, at = [], begin
+        while end - at > size and (found := CUT.search(self.text, at + size, end)):
+            lengths.append(found.start() - at)
+            at = found.start()
+        return [*lengths, end - at] if end > at else lengths
+
+    def _count(self, begin: int, lengths: list[int]) -> list[int]:
+        tokens = []
+        for length in lengths:
+            tokens.append(self.counter.tokens(self.text[begin : begin + length]))
+            begin += length
+        return tokens
 
     def _plant(self, lengths: list[int], tokens: list[int]) -> None:
         self.lengths = lengths
@@ -118,31 +113,21 @@ class TokenTree:
         """Replace the characters ``start`` to ``end``."""
         if not 0 <= start <= end <= len(self.text):
             raise ValueError(f"edit {start}:{end} outside a text of {len(self.text)} characters")
-        bounds = [0, *np.cumsum(self.lengths).tolist()] if self.lengths else [0]
-        shift = len(replacement) - (end - start)
-        self.text = self.text[:start] + replacement + self.text[end:]
+        bounds = [0, *np.cumsum(self.lengths).tolist()]
         first = max(0, bisect_right(bounds, start - CONTEXT) - 1)
-        first = min(first, max(0, len(self.lengths) - 1))
-        begin = bounds[first]
-        # Old leaf boundaries after the edit, where they lie now.
-        later = {b + shift: i for i, b in enumerate(bounds) if b >= end and i > first}
-        lengths, tokens, at, last = [], [], begin, len(self.lengths)
-        for found in self.counter.pattern.finditer(self.text, begin):
-            lengths.append(found.end() - at)
-            tokens.append(self.counter[found[0]])
-            at = found.end()
-            if at in later:
-                last = later[at]
-                break
-        self.encoded += at - begin
-        old = last - first
-        if old and len(lengths) <= 2 * LEAF * old and (len(lengths) >= old or first + old == len(self.lengths) == 1):
-            self.lengths[first:last], leaves = self._leaves(lengths, tokens, old)
+        last = min(max(bisect_left(bounds, end + CONTEXT), first + 1), len(self.lengths))
+        begin, old = bounds[first], last - first
+        self.text = self.text[:start] + replacement + self.text[end:]
+        stop = bounds[last] + len(replacement) - (end - start)
+        lengths = self._cut(begin, stop)
+        leaves = self._count(begin, lengths)
+        self.encoded += stop - begin
+        if len(lengths) == old:
+            self.lengths[first:last] = lengths
             self._update(first, leaves)
         else:
-            more, leaves = self._leaves(lengths, tokens)
             kept = self.sums[self.width : self.width + len(self.lengths)].tolist()
-            self._plant(self.lengths[:first] + more + self.lengths[last:], kept[:first] + leaves + kept[last:])
+            self._plant(self.lengths[:first] + lengths + self.lengths[last:], kept[:first] + leaves + kept[last:])
 
     def _update(self, first: int, tokens: list[int]) -> None:
         low, high = self.width + first, self.width + first + len(tokens) - 1
@@ -166,7 +151,7 @@ def _counter(ranks: dict[bytes, int]) -> Counter:
 def mask_edits(text: str) -> list[tuple[int, int, str]]:
     """Edits which mask personal data and cut runs of exclamation marks to one, in order and without overlap."""
     spans = [(low, high, f"[{kind}]") for kind, low, high in personal_spans(text) if kind in BASE_KINDS]
-    spans += [(m.start() + 1, m.end(), "") for m in regex.finditer(r"!{2,}", text)]
+    spans += [(m.start() + 1, m.end(), "") for m in re.finditer(r"!{2,}", text)]
     out: list[tuple[int, int, str]] = []
     for low, high, new in sorted(spans, key=lambda s: (s[0], -s[1])):
         if not out or low >= out[-1][1]:
