@@ -2,24 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.operators.lookup import lookup_join
-from linkloom.runtime import new_path, ship_package, workspace, written
+from linkloom import runtime
+from linkloom.runtime import delete_path, new_path
 
 __all__ = [
-    "attach", "drop_documents", "first_rows", "fresh", "ids_not_kept", "new_path", "packed", "ship_package", "table", "workspace", "written",
+    "attach", "drop_documents", "first_rows", "fresh", "ids_not_kept", "new_path", "packed", "passing", "ship_package", "table", "written",
 ]
 
 # A lookup is broadcast up to this measured size; a larger one is joined by key.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 8 << 20
 # Keys of a join by key with more rows than this are cut into slices.
 HOT_ROWS = 100_000
 
 
+# What Spark hands to a Python task at once, if the session leaves it at Spark's own values: texts are long.
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b"),
+}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the tasks, and their batches small enough for texts."""
+    runtime.ship_package(spark)
+    for key, (default, smaller) in BATCH_LIMITS.items():
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, smaller)
+
+
+_written: list[str] = []
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the folder all executors share, and go on from the stored copy."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    _written.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Delete the tables written inside, but for those put in the list, once they have served."""
+    first, kept = len(_written), []
+    yield kept
+    stay = {name.split("://", 1)[-1].removeprefix("file:") for df in kept for name in df.inputFiles()}
+    for path in _written[first:]:
+        bare = path.split("://", 1)[-1].removeprefix("file:")
+        if not any(bare.lstrip("/") in name for name in stay):
+            delete_path(spark, path)
+    del _written[first:]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,10 +75,10 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def attach(
     facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
-    spread_by: Sequence[str] | None = None, hot_rows: int = HOT_ROWS,
+    spread_by: Sequence[str] | None = None, hot_rows: int = HOT_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``facts`` joined with ``lookup``: a measured broadcast, or by key with hot keys in slices."""
-    return lookup_join(facts, lookup, on, how, spread_by, broadcast_bytes=BROADCAST_BYTES, hot_rows=hot_rows)
+    return lookup_join(facts, lookup, on, how, spread_by, broadcast_bytes=broadcast_bytes, hot_rows=hot_rows)
 
 
 def ids_not_kept(decisions: DataFrame, id_col: str, kept: Column) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import attach, drop_documents, ship_package, table, written
+from linkloom.llm.common import attach, drop_documents, passing, ship_package, table, written
 from linkloom.llm.words import batches_by_bytes, shingles, words_of
 
 SEED_WORDS = 3
@@ -243,8 +243,10 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` without the documents in which an item of the benchmark is found; rows without id are left alone."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return drop_documents(docs, written(found.select("doc_id").distinct(), "contaminated-ids"), "doc_id")
+    with passing(spark) as kept:
+        found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+        kept.append(written(found.select("doc_id").distinct(), "contaminated-ids"))
+    return drop_documents(docs, kept[0], "doc_id")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,7 +136,7 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def batches_by_bytes(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def batches_by_bytes(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts take about ``most`` bytes; one longer text makes a slice of its own."""
     _, offsets = text_bytes(batch.column(column))
     low = 0
