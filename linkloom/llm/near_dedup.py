@@ -11,8 +11,8 @@ Nothing is done for all pairs of a group:
 2. In each band value the node that shares most bands with others is the centre and is compared
    with each other node there. This links nearly all of a group, with one comparison per row.
 3. Band values that still hold several components are searched for the rest in blocks of
-   nodes: signatures of different components are compared inside a task and only pairs that can
-   reach the similarity (estimate at least 0.68, five standard errors below 0.8) are compared in full.
+   nodes: longer signatures of different components, one byte per value, are compared inside a task and only
+   pairs that can reach the similarity (five standard errors below 0.8 at least) are compared in full.
 
 Defined results: null or blank texts have no shingles and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Rows without id are linked with nothing and get
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import attach, drop_documents, ids_not_kept, ship_package, table, written
+from linkloom.llm.common import attach, drop_documents, ids_not_kept, passing, ship_package, table, written
 from linkloom.llm.components import components
 from linkloom.llm.words import batches_by_bytes, mix, shingles, words_of
 
@@ -39,25 +39,27 @@ PERCENT = 80
 PERMUTATIONS = 144
 ROWS_PER_BAND = 6
 BANDS = 2 * PERMUTATIONS // ROWS_PER_BAND
-# Pairs of signatures that agree in fewer values than this share cannot well be links.
-LEAST_ESTIMATE = 0.68
+# Permutations of the signatures for the rest, and the share of equal values which a link cannot well stay
+# below: the expected one at similarity 0.8, less five standard errors. One in 256 other bytes is equal by chance.
+FINE_PERMUTATIONS = 576
+LEAST_EQUAL = 0.8 + 0.2 / 256 - 5 * (0.16 / (2 * FINE_PERMUTATIONS)) ** 0.5
 # Nodes of one band value are compared in blocks of this many.
-BLOCK_NODES = 512
+BLOCK_NODES = 2048
 # Shingles hashed at once under all permutations.
-_CHUNK = 2048
+_CHUNK = 1024
 
 _draw = np.random.default_rng(20_260_101)
-_FACTORS = (_draw.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-_SHIFTS = _draw.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint64).astype(np.uint32)
+_FACTORS = (_draw.integers(0, 1 << 32, FINE_PERMUTATIONS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+_SHIFTS = _draw.integers(0, 1 << 32, FINE_PERMUTATIONS, dtype=np.uint64).astype(np.uint32)
 
 
-def min_max_signature(members: np.ndarray) -> np.ndarray:
+def min_max_signature(members: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
     """Smallest and largest hash of the set under each permutation, in turn."""
-    out = np.empty(2 * PERMUTATIONS, dtype=np.uint32)
+    out = np.empty(2 * permutations, dtype=np.uint32)
     short = (members >> np.uint64(32)).astype(np.uint32)
     for low in range(0, len(short), _CHUNK):
-        hashed = np.multiply.outer(_FACTORS, short[low : low + _CHUNK])
-        hashed += _SHIFTS[:, None]
+        hashed = np.multiply.outer(_FACTORS[:permutations], short[low : low + _CHUNK])
+        hashed += _SHIFTS[:permutations, None]
         least, most = hashed.min(axis=1), hashed.max(axis=1)
         if low:
             least, most = np.minimum(least, out[0::2]), np.maximum(most, out[1::2])
@@ -180,7 +182,7 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, word
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in batches_by_bytes(whole, "text"):
-                signed = [min_max_signature(s).tobytes() for s in shingle_sets(batch.column("text"), words)]
+                signed = [min_max_signature(s, FINE_PERMUTATIONS).astype(np.uint8).tobytes() for s in shingle_sets(batch.column("text"), words)]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signed, pa.binary())], ["node", "signature"])
 
     signatures = attach(texts, wanted, ["node"], "left_semi").mapInArrow(sign, "node binary, signature binary")
@@ -192,9 +194,9 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, word
     rows = rows.select("band", "node", "root", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"))
     rows = attach(rows, signatures, ["node"], spread_by=["band", "x", "y"])
 
-    def close(key, block: pd.DataFrame) -> pd.DataFrame:
+    def close(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         _, x, y = key
-        signed = np.frombuffer(b"".join(block["signature"]), dtype=np.uint32).reshape(len(block), -1)
+        signed = np.frombuffer(b"".join(block["signature"]), dtype=np.uint8).reshape(len(block), -1)
         names, of = block["node"].to_numpy(), block["mine"].to_numpy()
         roots = pd.factorize(block["root"])[0]
         right = np.flatnonzero(of == y)
@@ -202,7 +204,7 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, word
         for i in np.flatnonzero(of == x):
             others = right[right > i] if x == y else right
             others = others[roots[others] != roots[i]]
-            near = (signed[others] == signed[i]).mean(axis=1) >= LEAST_ESTIMATE
+            near = (signed[others] == signed[i]).mean(axis=1) >= LEAST_EQUAL
             found += [(min(names[i], names[j]), max(names[i], names[j])) for j in others[near]]
         return pd.DataFrame(found, columns=["a", "b"])
 
@@ -243,8 +245,10 @@ def near_dedup(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` with the document of smallest id of each group of near duplicates: five words, similarity 0.8."""
-    decisions = near_dedup(docs)
-    return drop_documents(docs, ids_not_kept(decisions, "doc_id", F.col("kept")), "doc_id")
+    with passing(spark) as kept:
+        dropped = ids_not_kept(near_dedup(docs), "doc_id", F.col("kept"))
+        kept.append(dropped)
+    return drop_documents(docs, dropped, "doc_id")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
