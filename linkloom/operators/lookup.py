@@ -16,6 +16,8 @@ from linkloom.runtime import written
 BROADCAST_BYTES = 128 << 20
 # Keys with more rows than this are spread over several tasks, one per this many rows.
 HOT_ROWS = 1_000_000
+# The table of such keys is broadcast up to this measured size, whatever the limit for the lookup.
+HOT_BYTES = 32 << 20
 
 _ROW_OVERHEAD = 48
 
@@ -65,7 +67,7 @@ def lookup_join(
             facts = written(facts, "facts")
         hot = frequent_keys(facts if counted is None else counted, on, hot_rows)
     hot = hot.select(*on, slices.alias("_slices"))
-    if stored_bytes(hot) <= broadcast_bytes:
+    if stored_bytes(hot) <= HOT_BYTES:
         hot = F.broadcast(hot)
     slices = F.coalesce(F.col("_slices"), F.lit(1).cast("bigint"))
     spread = F.xxhash64(*(spread_by or facts.columns))
