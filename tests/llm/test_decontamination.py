@@ -37,7 +37,7 @@ def test_query_finds_exact_and_edited_copies(spark, rows):
                 score = local_alignment(own, text) / (2 * len(own))
                 if score >= op.LEAST_SCORE:
                     want[d["doc_id"], item["item_id"]] = score
-    assert got == pytest.approx(want) and len(want) > 3
+    assert want and got == pytest.approx(want)
 
 
 def _edited(item: list[str], rate: float, seed: int) -> str:
