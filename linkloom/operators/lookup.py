@@ -8,7 +8,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 from linkloom.runtime import written
 
@@ -26,7 +26,7 @@ def stored_bytes(table: DataFrame) -> int:
     """Memory a broadcast of ``table`` takes, from its row count and the lengths of its values."""
     width = F.lit(_ROW_OVERHEAD + 8 * len(table.columns))
     for f in table.schema.fields:
-        if isinstance(f.dataType, StringType):
+        if isinstance(f.dataType, (StringType, BinaryType)):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
         elif isinstance(f.dataType, ArrayType):
             width = width + 8 * F.coalesce(F.size(f.name), F.lit(0))
