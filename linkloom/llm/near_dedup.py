@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import attach, drop_documents, ids_not_kept, passing, ship_package, table, written
+from linkloom.llm.common import HOT_ROWS, attach, drop_documents, ids_not_kept, passing, ship_package, table, written
 from linkloom.llm.components import components
 from linkloom.llm.words import batches_by_bytes, mix, shingles, words_of
 
@@ -142,7 +142,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = attach(attach(pairs, of_b, ["b"], spread_by=["a"]), of_a, ["a"], spread_by=["b"])
+    rows = attach(pairs, of_b, ["b"], spread_by=["a"], broadcast_bytes=0)
+    hot = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > HOT_ROWS), "hot-texts")
+    rows = attach(rows, of_a, ["a"], spread_by=["b"], broadcast_bytes=0, hot=hot)
     return written(rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary"), "links")
 
 
@@ -150,7 +152,9 @@ def shared_bands(nodes: DataFrame) -> DataFrame:
     """``band, node, n_shingles, first_id, size``, written: band values of two nodes or more, and how many."""
     rows = nodes.select("node", "n_shingles", "first_id", F.explode("bands").alias("band"))
     sizes = written(rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared-bands")
-    return written(attach(rows, sizes, ["band"], spread_by=["node"]), "band-members")
+    hot = sizes.where(F.col("size") > HOT_ROWS).select("band", F.col("size").alias("_rows"))
+    # By key at every size, like the other joins with one row per band value or text: they grow with the documents.
+    return written(attach(rows, sizes, ["band"], spread_by=["node"], broadcast_bytes=0, hot=hot), "band-members")
 
 
 def _alike(one: str, other: str):
@@ -165,7 +169,7 @@ def centre_pairs(members: DataFrame) -> DataFrame:
     ranked = attach(members, weight, ["node"], spread_by=["band"])
     best = F.max(F.struct("weight", "node", "n_shingles")).alias("best")
     centres = ranked.groupBy("band").agg(best).select("band", F.col("best.node").alias("a"), F.col("best.n_shingles").alias("n_a"))
-    pairs = attach(members, written(centres, "centres"), ["band"], spread_by=["node"])
+    pairs = attach(members, written(centres, "centres"), ["band"], spread_by=["node"], broadcast_bytes=0)
     pairs = pairs.where((F.col("a") != F.col("node")) & _alike("n_a", "n_shingles"))
     return written(pairs.select("a", F.col("node").alias("b")).distinct(), "centre-pairs")
 
@@ -192,7 +196,7 @@ def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, word
     mine = F.pmod(F.hash("node"), blocks)
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select("band", "node", "root", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"))
-    rows = attach(rows, signatures, ["node"], spread_by=["band", "x", "y"])
+    rows = attach(rows, signatures, ["node"], spread_by=["band", "x", "y"], broadcast_bytes=0)
 
     def close(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         _, x, y = key
