@@ -76,9 +76,13 @@ def fresh(df: DataFrame, name: str) -> str:
 def attach(
     facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner",
     spread_by: Sequence[str] | None = None, hot_rows: int = HOT_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``facts`` joined with ``lookup``: a measured broadcast, or by key with hot keys in slices."""
-    return lookup_join(facts, lookup, on, how, spread_by, broadcast_bytes=broadcast_bytes, hot_rows=hot_rows)
+    """``facts`` joined with ``lookup``: a measured broadcast, or by key with hot keys in slices.
+
+    ``hot`` may name the hot keys with their ``_rows``, where they are known already.
+    """
+    return lookup_join(facts, lookup, on, how, spread_by, hot=hot, broadcast_bytes=broadcast_bytes, hot_rows=hot_rows)
 
 
 def ids_not_kept(decisions: DataFrame, id_col: str, kept: Column) -> DataFrame:
