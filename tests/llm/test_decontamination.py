@@ -83,3 +83,40 @@ def test_awkward(spark, awkward, nothing, tmp_path):
     assert stay.columns == awkward.columns
     assert sorted((r["doc_id"] for r in stay.collect()), key=str) == sorted([1, 2, 3, 4, 5, 5, 6, 7, 9, 10, None, None], key=str)
     assert op.decontamination_stage(spark, nothing, str(tmp_path)).count() == 0
+
+
+def _regular(item: list[str], kind: str, every: int) -> str:
+    """``item`` with every so many words replaced, left out or followed by another."""
+    out = []
+    for i, w in enumerate(item, 1):
+        out += {"replace": [f"new{i}"], "leave": [], "insert": [w, f"new{i}"]}[kind] if i % every == 0 else [w]
+    return " ".join(out)
+
+
+def test_copies_with_many_edits_are_those_of_full_alignment(spark):
+    texts = {i: prose(40 + i, 16 + 4 * i) for i in range(1, 8)}
+    copies = []
+    for i in (1, 2, 3):  # one copy each: every third or fourth word replaced, or a word put in after each
+        copies += [(i, _regular(texts[i].split(), *(("replace", 4), ("replace", 3), ("insert", 1))[i - 1]))]
+    for i in (4, 5):  # an edited copy beside verbatim ones
+        copies += [(i, _regular(texts[i].split(), "replace", i - 1))] + [(i, texts[i])] * 6
+    draw = random.Random(5)
+    copies += [(i, _edited(texts[i].split(), draw.uniform(0.2, 0.5), n)) for n in range(40) for i in (6, 7)]
+    copies += [(1, _regular(texts[1].split(), "leave", 3)), (2, " ".join(reversed(texts[2].split())))]
+    docs = [(n, f"{prose(2000 + n, 30)} {text} {prose(4000 + n, 50)}") for n, (_, text) in enumerate(copies)]
+    want = {}
+    for n, text in docs:
+        for i, item in texts.items():
+            score = local_alignment(words(item), words(text)) / (2 * len(words(item)))
+            if score >= op.LEAST_SCORE:
+                want[n, i] = score
+    assert {(n, copies[n][0]) for n in range(17)} <= want.keys() and len(want) < len(docs)
+    found = op.decontaminate(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(list(texts.items()), ITEM))
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found.collect()} == pytest.approx(want)
+
+
+def test_one_edited_copy_alone_in_the_corpus(spark):
+    item = prose(78, 24)
+    docs = [(1, f"{prose(1, 60)} {_regular(item.split(), 'replace', 4)} {prose(2, 60)}"), (2, prose(3, 90))]
+    found = op.decontaminate(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, item)], ITEM))
+    assert [(r["doc_id"], r["item_id"]) for r in found.collect()] == [(1, 1)]
