@@ -12,7 +12,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body center caption dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID_TAGS = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 SKIPPED_TAGS = frozenset("script style noscript template svg math canvas iframe object audio video textarea title".split())
 BOILERPLATE_TAGS = frozenset("aside button datalist dialog footer form head input label menu nav search select".split())
 BOILERPLATE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
@@ -24,10 +24,22 @@ BOILERPLATE_WORDS = frozenset(
 )
 HEADER_WORDS = frozenset(("header", "masthead", "topbar"))
 ARTICLE_WORDS = frozenset(("articlebody", "mainentityofpage"))
+# What may stand in a head; anything else ends it.
+HEAD_TAGS = frozenset("base basefont bgsound link meta noscript script style template title".split())
+# Elements that an open list item, term or definition does not reach beyond, to be ended by the next one.
+BARRIER_TAGS = BLOCK_TAGS.union(("button", "select")) - frozenset("address div p option legend search dialog".split())
+TABLE_TAGS = frozenset("caption table tbody td tfoot th thead tr".split())
+# Of the parts of a table, those that the begin of another ends.
+TABLE_ENDS = {
+    "td": ("td", "th", "caption"), "th": ("td", "th", "caption"), "tr": ("td", "th", "caption", "tr"),
+    **dict.fromkeys(("caption", "tbody", "tfoot", "thead"), ("td", "th", "caption", "tr", "tbody", "tfoot", "thead")),
+}
 
 _NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
-_OPEN_VALUE = re.compile(r"""=\s*(["'])(?:(?!\1).)*\Z""", re.DOTALL)
+# What stands between the name of a tag and its end: attributes, with any > in quoted values.
+ATTRIBUTES = r"""(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?+)*+"""
+_REST = re.compile(f"{ATTRIBUTES}>")
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -40,14 +52,9 @@ class Block(NamedTuple):
 
 
 def _tag_end(html: str, begin: int) -> int:
-    """The place of the ``>`` that closes the tag at ``begin``, past any in quoted values; -1 if there is none."""
-    end = html.find(">", begin)
-    while end >= 0 and (found := _OPEN_VALUE.search(html, max(begin, end - 4096), end)):
-        close = html.find(found[1], end)
-        if close < 0:
-            break
-        end = html.find(">", close)
-    return end
+    """The place of the ``>`` that closes the tag whose name ends at ``begin``, past any in quoted values; -1 if there is none."""
+    found = _REST.match(html, begin)
+    return found.end() - 1 if found else -1
 
 
 def _attributes(tag: str) -> dict[str, str]:
@@ -72,13 +79,68 @@ def _role(name: str, tag: str, in_article: bool) -> str | None:
     return None
 
 
+class _Open:
+    """Open elements with the kind of block inside each; all steps take constant time per element."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str]] = []
+        self.places: dict[str, list[int]] = {}
+        self.barriers: list[int] = []
+        self.tables: list[int] = []
+
+    @property
+    def top(self) -> str:
+        return self.stack[-1][0] if self.stack else ""
+
+    @property
+    def kind(self) -> str:
+        return self.stack[-1][1] if self.stack else "plain"
+
+    def push(self, name: str, kind: str) -> None:
+        place = len(self.stack)
+        self.stack.append((name, kind))
+        self.places.setdefault(name, []).append(place)
+        if name in BARRIER_TAGS:
+            self.barriers.append(place)
+        if name in TABLE_TAGS:
+            self.tables.append(place)
+
+    def cut(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self.places[self.stack.pop()[0]].pop()
+        for places in (self.barriers, self.tables):
+            while places and places[-1] >= depth:
+                places.pop()
+
+    def close(self, name: str) -> bool:
+        found = bool(self.places.get(name))
+        if found:
+            self.cut(self.places[name][-1])
+        return found
+
+    def close_before(self, name: str) -> None:
+        """End what the begin of element ``name`` ends."""
+        if name in BLOCK_TAGS and self.top == "p":
+            self.cut(len(self.stack) - 1)
+        if name in ("option", "optgroup") and self.top == "option":
+            self.cut(len(self.stack) - 1)
+        if name == "optgroup" and self.top == "optgroup":
+            self.cut(len(self.stack) - 1)
+        if name in ("li", "dt", "dd") and self.barriers:
+            same = ("li",) if name == "li" else ("dt", "dd")
+            if self.stack[self.barriers[-1]][0] in same:
+                self.cut(self.barriers[-1])
+        while self.tables and self.stack[self.tables[-1]][0] in TABLE_ENDS.get(name, ()):
+            self.cut(self.tables[-1])
+
+
 def blocks_of(html: str) -> Iterator[Block]:
     """Blocks in page order; character references decoded, white space collapsed, no empty blocks.
 
     Scripts, styles, comments and other elements without readable text give nothing. Time is linear
     in the length of the page, whatever is left open in it.
     """
-    stack: list[tuple[str, str]] = []  # open elements and the kind of block inside each
+    open_ = _Open()
     kind, parts, pos = "plain", [], 0
     no_close: set[str] = set()
 
@@ -90,10 +152,14 @@ def blocks_of(html: str) -> Iterator[Block]:
 
     while pos < len(html):
         at = html.find("<", pos)
+        text = html[pos : at if at >= 0 else len(html)]
+        if open_.top == "head" and not text.isspace() and text:
+            parts.clear()
+            open_.cut(len(open_.stack) - 1)
+            kind = open_.kind
+        parts.append(text)
         if at < 0:
-            parts.append(html[pos:])
             break
-        parts.append(html[pos:at])
         if html.startswith("<!--", at):
             end = html.find("-->", at + 4)
             pos = len(html) if end < 0 else end + 3
@@ -112,15 +178,22 @@ def blocks_of(html: str) -> Iterator[Block]:
             break  # a tag that never ends
         name, pos = found[1].lower(), end + 1
         closing, empty = html[at + 1] == "/", html[end - 1] == "/"
+        if open_.top == "head" and not closing and name not in HEAD_TAGS:
+            parts.clear()
+            open_.cut(len(open_.stack) - 1)
+            kind = open_.kind
         if name in SKIPPED_TAGS:
-            if not closing and not empty and name not in no_close:
-                close = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, pos)
+            if not closing and not empty and (name not in no_close or name == "title"):
+                close = None if name in no_close else re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, pos)
                 if close:
                     pos = close.end()
                 else:
                     no_close.add(name)
                     if name in ("script", "style"):
                         pos = len(html)
+                if not close and name == "title":
+                    after = html.find("<", pos)
+                    pos = after if after >= 0 else len(html)
             parts.append(" ")
             continue
         if name == "br":
@@ -130,23 +203,19 @@ def blocks_of(html: str) -> Iterator[Block]:
         if block:
             yield from flush()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, max(-1, len(stack) - 256), -1) if stack[i][0] == name), None)
-            if depth is not None:
-                del stack[depth:]
-                if not block and stack_kind(stack) != kind:
+            if open_.close(name):
+                if not block and open_.kind != kind:
                     yield from flush()
-                kind = stack_kind(stack)
+                kind = open_.kind
         elif name not in VOID_TAGS and not empty:
-            if block and stack and stack[-1][0] == "p":
-                stack.pop()
+            open_.close_before(name)
+            if open_.kind != kind:
+                yield from flush()
+                kind = open_.kind
             role = "boilerplate" if kind == "boilerplate" else _role(name, html[found.end() : end], kind == "article")
             inner = role if role and not (kind == "article" and role == "main") else kind
             if inner != kind:
                 yield from flush()
-            stack.append((name, inner))
+            open_.push(name, inner)
             kind = inner
     yield from flush()
-
-
-def stack_kind(stack: list[tuple[str, str]]) -> str:
-    return stack[-1][1] if stack else "plain"

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import ship_package, table
-from linkloom.llm.html import BLOCK_TAGS
+from linkloom.llm.html import ATTRIBUTES, BLOCK_TAGS
 from linkloom.llm.words import batches_by_bytes
 
 _HEADER = pa.struct([("name", pa.string()), ("value", pa.string())])
@@ -38,9 +38,9 @@ RECORD = (
     f"content_length bigint, block_digest string, source_digest string, headers {HEADERS}, block string"
 )
 
-_HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|svg|head)\b", re.IGNORECASE)
-_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK_TAGS | {'br', 'title'}))})\b[^>]*>", re.IGNORECASE)
-_TAG = re.compile(r"<[A-Za-z/!?][^>]*>")
+_MARKUP = re.compile(rf"<(?:(!--)|/?([A-Za-z][^\s/>]*){ATTRIBUTES}(?:>|\Z)|[!?/][^>]*+(?:>|\Z))")
+_BREAKS = BLOCK_TAGS | {"br", "title"}
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style", "noscript", "template", "svg", "title")}
 _TITLE = re.compile(r"<title\b[^>]*>([^<]*)", re.IGNORECASE)
 _LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.IGNORECASE)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*[\"']?([^\s\"'>]+)", re.IGNORECASE)
@@ -53,20 +53,30 @@ def digest(block: bytes) -> str:
 def plain_text(html: str) -> str:
     """All readable text of a page, a block a line; time is linear in its length."""
     parts, pos = [], 0
-    while found := _HIDDEN.search(html, pos):
+    last = html.rfind(">") + 1  # there is no tag after this, and each one before it ends
+    while found := _MARKUP.search(html, pos, last):
         parts.append(html[pos : found.start()])
-        if found[1] is None:
-            end = html.find("-->", found.end())
+        pos = found.end()
+        if found[1]:
+            end = html.find("-->", pos)
             pos = end + 3 if end >= 0 else len(html)
-        else:
-            close = re.compile(rf"</{found[1]}\s*>", re.IGNORECASE).search(html, found.end())
-            pos = close.end() if close else len(html)
-        parts.append(" ")
+            parts.append(" ")
+        elif found[2]:
+            name = found[2].lower()
+            if name in _BREAKS:
+                parts.append("\n")
+            if name in _CLOSE and html[found.start() + 1] != "/" and not (name == "svg" and html[pos - 2] == "/"):
+                close = _CLOSE[name].search(html, pos)
+                if close:
+                    pos = close.end()
+                elif name == "title":
+                    after = html.find("<", pos)
+                    pos = after if after >= 0 else len(html)
+                else:
+                    pos = len(html)
+                parts.append(" ")
     parts.append(html[pos:])
-    text = "".join(parts)
-    last = text.rfind(">") + 1  # there is no tag after this, and each one before it ends
-    text = _TAG.sub("", _BLOCK.sub("\n", text[:last])) + text[last:]
-    lines = (" ".join(line.split()) for line in unescape(text).split("\n"))
+    lines = (" ".join(line.split()) for line in unescape("".join(parts)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 

@@ -53,6 +53,43 @@ def test_article_of_a_page():
     assert extraction.decided_blocks('<p title="a > b">yes</p><p hidden>no</p>') == (False, ["yes"])
 
 
+@pytest.mark.parametrize(
+    "menu",
+    [
+        "<nav><ul>" + "<li>entry" * 300 + "</ul></nav>",
+        "<nav><dl>" + "<dt><div>term<dd>entry" * 200 + "</dl></nav>",
+        "<form><select>" + "<option>entry" * 300 + "</select></form>",
+        "<nav><table>" + "<tr><th>a<td><div>entry" * 200 + "</table></nav>",
+        "<nav>" + "<b>" * 300 + "entry</nav>",
+        "<ul><li class=ad>entry<li hidden>entry</ul>",
+        "<p class=ad>entry",
+    ],
+)
+def test_end_tags_left_out_lose_no_article(menu):
+    assert extraction.decided_blocks(f"<body>{menu}<div><p>One<p>two</div>") == (False, ["One", "two"])
+    assert extraction.decided_blocks(f"<body>{menu}<article><p>One<p>two</article>") == (True, ["One", "two"])
+
+
+def test_list_items_end_at_the_next_one_only():
+    page = "<ul><li class=ad>no<ul><li>no</ul>no<li>yes<ul><li>yes</ul>yes</ul><table><tr><td class=ad>no<table><tr><td>no</table>no<td>yes</table>"
+    assert {b.kind: {x.text for x in html.blocks_of(page) if x.kind == b.kind} for b in html.blocks_of(page)} == {"boilerplate": {"no"}, "plain": {"yes"}}
+
+
+@pytest.mark.parametrize("begin", ["<head><title>T</title><meta x=1>", "<head><title>T", "<html><head><style>p{}</style>"])
+@pytest.mark.parametrize("body", ["<body><p>text</p>", "<p>text", "<div>text</div></body>", "text"])
+def test_head_without_end_tag(begin, body):
+    if begin.endswith("<title>T") and body == "text":
+        body = "<body>text"
+    assert extraction.decided_blocks(begin + body) == (False, ["text"])
+    assert warc.plain_text(begin + body) == "text"
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_long_quoted_attributes_do_not_spill(quote):
+    page = f"<div data-x = {quote}{'x' * 5000} <p> {'>' * 5000}{quote} title=a>text</div>"
+    assert extraction.decided_blocks(page) == (False, ["text"]) and warc.plain_text(page) == "text"
+
+
 @pytest.mark.parametrize("broken", ["<", "<!--", "<script>", '<div a="', "<p>", "</div>", "<textarea>", "<x y=1 ", "&", "<div>"])
 def test_broken_markup_takes_linear_time(broken):
     assert len(list(html.blocks_of(broken * 20_000))) <= 1
