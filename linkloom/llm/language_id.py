@@ -5,7 +5,12 @@ its subwords' vectors, from which a linear layer gives one logit per language. V
 layer are trained together by stochastic gradient descent in numpy, on a bounded sample:
 ``PER_LANGUAGE`` labelled documents of each language, whole texts, chosen by a hash of their id.
 A tenth of the sample is set aside to calibrate: a temperature that makes probabilities
-honest, and the score below which a text is rejected as not of any learned language.
+honest, and a score below which a text is rejected.
+
+As a softmax has to choose among what it knows, its score cannot tell a text of another language. So each language also
+has the shares of its subwords' buckets, and a text is rejected if under every language its subwords are less likely
+than buckets at random, by more than chance in a few of them. Where more than a hundredth of the sample's texts of a language, each
+against the others, would go, its limit is lowered until they stay. A language with few texts has no limit: what is taken for it is accepted.
 
 Predicting needs one look-up per subword, as the vectors times the layer are one table of
 languages by buckets; texts of any length go through in slices.
@@ -39,17 +44,26 @@ LENGTHS = (2, 3, 4)
 SLICE_BYTES = 1 << 18
 # Share of the calibration documents, beyond the worst of each hundred, that a rejected text scores below.
 SLACK = 0.5
+# Share of each language's subwords that may be any, and the logarithm of likelihood that is taken for chance in a text.
+UNSEEN = 0.05
+EVIDENCE = 20.0
+# Texts of a language that its limit needs, and a limit below every likelihood.
+LIMIT_TEXTS = 20
+NO_LIMIT = -100.0
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages in order, logits of each bucket, biases, temperature and the least accepted score."""
+    """Languages in order, logits of each bucket, biases, temperature and the least accepted score; log likelihood
+    of each bucket against one at random, and the least accepted mean of it in each language."""
 
     languages: tuple[str, ...]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
     least_score: float
+    likely: np.ndarray
+    least_likely: np.ndarray
 
 
 def subword_buckets(data: np.ndarray, length: int) -> np.ndarray:
@@ -133,7 +147,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 1) -> Mod
     names = rows.column("lang").to_pylist()
     languages = tuple(sorted(set(names)))
     if not languages:
-        return Model((), np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0, 0.0)
+        return Model((), np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0, 0.0, np.zeros((0, BUCKETS), np.float32), np.zeros(0))
     target = np.array([languages.index(x) for x in names])
     # Slices of the collected arrays, not copies: the sample is the largest thing the driver holds.
     features = [(b.values.to_numpy(), c.values.to_numpy()) for b, c in zip(rows.column("buckets"), rows.column("counts"), strict=True)]
@@ -149,7 +163,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 1) -> Mod
     # and no more than a little above chance.
     chance = 1 / len(languages)
     least = min(SLACK * float(np.quantile(best, 0.01)), chance + 0.1 * (1 - chance))
-    return Model(languages, np.ascontiguousarray((vectors @ layer).T.astype(np.float32)), bias, temperature, least)
+    return Model(languages, np.ascontiguousarray((vectors @ layer).T.astype(np.float32)), bias, temperature, least, *_likelihoods(features, target, len(languages)))
+
+
+def _likelihoods(features, target, classes) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihood of each bucket in each language against one at random, and the mean that a text of it has to reach."""
+    sums, docs = np.zeros((classes, BUCKETS)), np.bincount(target, minlength=classes)
+    for i, (buckets, counts) in enumerate(features):
+        sums[target[i], buckets] += counts
+    likely = np.log((1 - UNSEEN) * BUCKETS * sums / docs[:, None] + UNSEEN)
+    means = []
+    for i, (buckets, counts) in enumerate(features):
+        # Against all texts of its language but this one.
+        rest = np.maximum(0, sums[target[i], buckets] - counts) / max(1, docs[target[i]] - 1)
+        means.append(np.log((1 - UNSEEN) * BUCKETS * rest + UNSEEN) @ counts)
+    means = np.array(means)
+    least = [min(0.0, float(np.quantile(means[target == k], 0.01))) if docs[k] >= LIMIT_TEXTS else NO_LIMIT for k in range(classes)]
+    return likely.astype(np.float32), np.array(least)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -197,17 +227,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for whole in batches:
             for batch in batches_by_bytes(whole, "text"):
                 letters = batch.column("letters").to_numpy(zero_copy_only=False)
-                names, scores = [], []
+                names, scores, taken = [], [], []
                 for text, known in zip(lowered(batch.column("text")), letters, strict=True):
+                    taken.append(False)
                     if not known or not model.languages:
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue
-                    share = _text_probabilities(model, text)
+                    share, accepted = _judged(model, text)
                     best = int(np.argmax(share))
                     names.append(model.languages[best])
                     scores.append(float(share[best]))
-                taken = [n != UNKNOWN and s >= model.least_score for n, s in zip(names, scores, strict=True)]
+                    taken[-1] = accepted
                 arrays = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(taken, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score", "accepted"])
 
@@ -216,16 +247,24 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double, accepted boolean")
 
 
-def _text_probabilities(model: Model, text: np.ndarray) -> np.ndarray:
-    total, seen = np.zeros(len(model.languages)), 0
+def _judged(model: Model, text: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Probability of each language, and whether the text is accepted as of any."""
+    total, likelihood, seen = np.zeros(len(model.languages)), np.zeros(len(model.languages)), 0
     for i, piece in enumerate(text_slices(text)):
         buckets = slice_buckets(piece, i == 0)
         seen += len(buckets)
         if len(buckets) > BUCKETS:
-            total += model.table @ np.bincount(buckets, minlength=BUCKETS).astype(np.float32)
+            counts = np.bincount(buckets, minlength=BUCKETS).astype(np.float32)
+            total += model.table @ counts
+            likelihood += model.likely @ counts
         else:
             total += [row[buckets].sum(dtype=np.float64) for row in model.table]
-    return _softmax((total / max(1, seen) + model.bias) / model.temperature)
+            likelihood += [row[buckets].sum(dtype=np.float64) for row in model.likely]
+    share = _softmax((total / max(1, seen) + model.bias) / model.temperature)
+    enough = likelihood >= model.least_likely * seen - EVIDENCE
+    # A language without a limit speaks for what is taken for it only.
+    enough[(model.least_likely == NO_LIMIT) & (np.arange(len(share)) != share.argmax())] = False
+    return share, bool(share.max() >= model.least_score and enough.any())
 
 
 def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -234,7 +273,7 @@ def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 
 def language_id_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` without the texts that are rejected: no letter, or less like any learned language than chance allows.
+    """``docs`` without the texts that are rejected: no letter, or less like every learned language than chance allows.
 
     Rows are filtered where they are read; nothing is shuffled and rows without id are treated like others.
     """
@@ -251,7 +290,7 @@ def language_id_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
             for batch in batches_by_bytes(whole, "text"):
                 known = batch.column(letters).to_numpy(zero_copy_only=False)
                 stay = [
-                    bool(k) and bool(model.languages) and float(_text_probabilities(model, text).max()) >= model.least_score
+                    bool(k) and bool(model.languages) and _judged(model, text)[1]
                     for text, k in zip(lowered(batch.column("text")), known, strict=True)
                 ]
                 yield batch.filter(pa.array(stay, pa.bool_())).select(list(range(batch.num_columns - 1)))

@@ -1,10 +1,12 @@
 """Language identification by held-out accuracy, and its rules."""
 
+import random
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from conftest import DATA
 
 from linkloom.llm import language_id as op
@@ -73,3 +75,25 @@ def test_stage_keeps_clean_documents(spark, documents, awkward, nothing):
 
 def test_lowered_keeps_other_letters():
     assert [bytes(x) for x in op.lowered(pa.array(["AbÉ", None, ""]))] == ["abÉ".encode(), b"", b""]
+
+
+def _spoken(letters: str, vowels: str, seed: int, n: int = 60) -> str:
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice(letters) + draw.choice(vowels) for _ in range(draw.randint(1, 4))) for _ in range(n))
+
+
+@pytest.mark.parametrize("learned", [1, 2])
+def test_unlearned_languages_and_junk_are_rejected(spark, learned):
+    kinds = [("aa", "bdgl", "ae"), ("bb", "kmpt", "iou")]
+    docs = [(1000 * k + i, _spoken(c, v, 1000 * k + i), lang) for k, (lang, c, v) in enumerate(kinds[:learned]) for i in range(200)]
+    clean = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    model = op.fit(clean)
+    assert all(r["accepted"] for r in op.predict(clean, model).collect())
+    others = [_spoken("cfrsz", "yw", 5), _spoken("вгдж", "аои", 6), "xqzv kjwq zzxq " * 20, "x" * 600, _spoken("\u4e00\u4e8c", "\u4e09", 7)]
+    strange = spark.createDataFrame([(i, t, None) for i, t in enumerate(others)], clean.schema)
+    assert not any(r["accepted"] for r in op.predict(strange, model).collect())
+
+
+def test_a_sample_too_small_to_tell_rejects_nothing(spark):
+    docs = spark.createDataFrame([(1, "one short text", "aa"), (2, "ein kurzer Text", "bb"), (7, "quite other words", None)], "doc_id bigint, text string, lang string")
+    assert all(r["accepted"] for r in op.predict(docs, op.fit(docs)).collect())
