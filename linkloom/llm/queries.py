@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, token_counts, warc
+from linkloom.llm import (
+    decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, token_counts, warc, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_passages": passages.op1_passages,
@@ -19,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": language_id.op10_language_id,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
