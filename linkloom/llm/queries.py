@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import (
-    decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, token_counts, warc, whitening,
+    decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, token_counts, toxicity, warc, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": language_id.op10_language_id,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_whitening": whitening.op13_whitening,
 }
 
