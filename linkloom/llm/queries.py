@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import (
-    decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, token_counts, toxicity, warc, whitening,
+    decontamination, exact_dedup, extraction, language_id, mixing, near_dedup, passages, pii, prefix_trie, token_counts, toxicity, warc,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8_pii,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_language_id": language_id.op10_language_id,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_toxicity": toxicity.op12_toxicity,
     "op13_whitening": whitening.op13_whitening,
 }
@@ -28,4 +30,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
 }
