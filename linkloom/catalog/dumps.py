@@ -12,6 +12,7 @@ from linkloom.catalog.oracle import dump_lines, query
 from linkloom.catalog.registry import register
 from linkloom.functions.text import parse_int, text_to_bytes
 from linkloom.operators import dumps as op
+from linkloom.operators import long_lines
 from linkloom.operators.positions import number_lines
 from linkloom.plans.dump_filter import filter_dumps, filter_tuples
 from linkloom.plans.files import filter_file
@@ -20,6 +21,7 @@ from linkloom.sources import lines as source
 from linkloom.sources import sinks
 
 CHUNK_LINES = 100
+RANGE_BYTES = 128 << 10
 
 _TITLES = "select page_title from page where page_is_redirect = 0"
 _IDS = "select page_id as id from page where page_namespace = 0"
@@ -108,6 +110,12 @@ def parse_dump_tuples(t: Inputs) -> DataFrame:
     return op.as_table(_tuples(t, "page"), op.PAGE)
 
 
+@register("parse_dump_ranges", query("select * from page", "page"))
+def parse_dump_ranges(t: Inputs) -> DataFrame:
+    """A dump of one line, cut into ranges."""
+    return op.as_table(long_lines.parse_dump_ranges(t.spark, t.page_line, range_bytes=RANGE_BYTES), op.PAGE)
+
+
 @register(
     "load_tables",
     query(

@@ -189,6 +189,22 @@ class Inputs:
 
         return self._once(f"dump-{table}", make)
 
+    @property
+    def page_line(self) -> str:
+        """The page dump as one line of one file: tuples end with a comma, what follows the semicolon is no list."""
+
+        def make() -> str:
+            path = new_path(self.spark, "page-line")
+            first, last = self.page.agg(F.min("page_id"), F.max("page_id")).first()
+            head = F.when(F.col("page_id") == first, F.lit("INSERT INTO `page` VALUES ")).otherwise("")
+            end = F.when(F.col("page_id") == last, F.lit(";")).otherwise("")
+            rows = self.page.select("page_id", F.concat(head, F.expr(PAGE_TUPLE_SQL), end).alias("value"))
+            # One line of one file has one writer.
+            rows.repartition(1).sortWithinPartitions("page_id").select("value").write.option("lineSep", ",").text(path)
+            return path
+
+        return self._once("page-line", make)
+
     @property
     def ranked_file(self) -> str:
         return self._text("ranked", self.page.select("page_id", F.expr(RANKED_LINE_SQL).alias("value")), "page_id")
