@@ -16,6 +16,10 @@ from linkloom.catalog.inputs import (
 INTERNAL = "^(Help|Draft|Category|File|User|Talk|(S|s)pecial|Wikipedia|Template)(_talk)?:"
 
 
+# The permutation of linkloom.operators.zeros.
+STRETCH, ROUNDS, PRIME, MULTIPLIER = 64, 4, (1 << 31) - 1, 1_103_515_245
+
+
 def crc32(text: str) -> str:
     """CRC-32 of ASCII text, bit by bit."""
     return f"""xor(list_reduce(
@@ -119,27 +123,58 @@ def query(body: str, *needs: str) -> str:
     return f"with {ctes}\n{body}" if ctes else body
 
 
+def _feistel(x: str) -> str:
+    """The permutation of pairs below (a, b), round by round."""
+    left, right = f"(({x}) % a)", f"(({x}) // a)"
+
+    def mixed(value: str, i: int) -> str:
+        t = f"(({value} + keys[{i + 1}]) % {PRIME})"
+        return f"((({t} * {t}) % {PRIME} * {MULTIPLIER}) % {PRIME})"
+
+    for i in range(ROUNDS):
+        if i % 2 == 0:
+            left = f"(({left} + {mixed(right, i)}) % a)"
+        else:
+            right = f"(({right} + {mixed(left, i)}) % b)"
+    return f"({left} + {right} * a)"
+
+
 def zeros(blocks: int, factor: float, seed: int) -> str:
-    """Zero cells by the same numbered draws: the first free ones of each block.
+    """Zero cells by rank: in each stretch between positives its share, by a permutation of its free cells.
 
-    The number of draws, four times the zeros wanted and some, is ample for a sparse matrix.
+    The cell of a rank is found by counting, for every drawn rank, the positives which have as many free cells before them.
     """
-
-    def number(start: int, bound: str) -> str:
-        return f"concat('0x', substr(digest, {start}, 15))::BIGINT % {bound}"
-
-    return f"""select block, row, col from (
-      select *, row_number() over (partition by block order by draw) as place from (
-        select block, row, col, min(draw) as draw from (
-          select block, draw, block * size + {number(1, 'block_rows')} as row, {number(16, 'c')} as col from (
-            select *, least(size, p - block * size) as block_rows,
-                   md5(concat_ws(':', '{seed}', block::VARCHAR, draw::VARCHAR)) as digest
-            from (select block, p, c, size, unnest(range(0, draws)) as draw
-                  from (select p, c, (p - 1) // {blocks} + 1 as size,
-                               4 * (select count(*) from cells) // {blocks} + 1000 as draws from shape),
-                       range(0, {blocks}) b(block))
-            where block * size < p))
-        group by block, row, col)
-      where (row, col) not in (select (row, col) from positives))
-    where place <= (select floor((select count(*) from cells)::DOUBLE / p
-        * least((p - 1) // {blocks} + 1, p - block * ((p - 1) // {blocks} + 1)) * {factor}) from shape)"""
+    keys = ", ".join(f"concat('0x', substr(digest, {1 + 7 * i}, 7))::BIGINT" for i in range(ROUNDS))
+    return f"""select * from (with limits as (
+      select b as block, size, c, greatest(0, least(size, p - b * size)) * c as cells,
+             floor((select count(*) from cells)::DOUBLE / p * greatest(0, least(size, p - b * size)) * {factor})::BIGINT as wanted
+      from (select p, c, (p - 1) // {blocks} + 1 as size from shape), range(0, {blocks}) r(b)
+    ), placed as (
+      select block, place, row_number() over (partition by block order by place) - 1 as j
+      from (select row // size as block, (row - row // size * size) * c + col as place from positives, (select any_value(size) as size, any_value(c) as c from limits))
+    ), heads as (
+      select block, j // {STRETCH} as stretch, min(place) as head, count(*) as n from placed group by all
+      union all select block, 0, 0, 0 from limits where block not in (select block from placed)
+    ), stretches as (
+      select h.block, stretch, case when stretch = 0 then 0 else head end as low,
+             coalesce(lead(head) over (partition by h.block order by stretch), cells) - (case when stretch = 0 then 0 else head end) - n as free,
+             cells - (select count(*) from placed q where q.block = h.block) as block_free, wanted, size, c,
+             md5(concat_ws(':', '{seed}', h.block::VARCHAR, stretch::VARCHAR)) as digest
+      from heads h join limits using (block)
+    ), shares as (
+      select *, floor(sqrt(free::DOUBLE))::BIGINT + 1 as a, [{keys}] as keys,
+             ((low - stretch * {STRETCH} + free)::HUGEINT * wanted // block_free - (low - stretch * {STRETCH})::HUGEINT * wanted // block_free)::BIGINT as n
+      from stretches where wanted > 0
+    ), once as (
+      select *, {_feistel('number')} as first
+      from (select *, (free + a - 1) // a as b, unnest(range(0, n)) as number from shares)
+    ), ranked as (
+      select *, case when first < free then first else list_reduce(list_prepend(first, range(0, a * b - free)),
+                lambda x, step: case when x < free then x else {_feistel('x')} end) end as rank
+      from once
+    )
+    select r.block, r.block * size + cell // c as row, cell % c as col
+    from (select ranked.block, size, c, low + rank + count(place) as cell
+          from ranked left join placed on placed.block = ranked.block and placed.j // {STRETCH} = stretch
+            and place - low - (placed.j - stretch * {STRETCH}) <= rank
+          group by ranked.block, stretch, size, c, low, rank) r)"""

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.cells import block_size, div, draw, row_block
+from linkloom.functions.cells import block_size, div, row_block
 from linkloom.operators.links import Shape
+from linkloom.operators.positions import with_positions
 from linkloom.runtime import written
 
 SEED = 20190308
-# Draws are counted in ranges this wide to find where a block has enough.
-DRAW_RANGE = 1 << 16
-DRAWS_PER_TASK = 5_000_000
+# Positives between which the free cells are drawn from by one permutation.
+STRETCH = 64
+# Zeros that one row makes.
+RUN_ZEROS = 4096
+ROUNDS = 4
+PRIME = (1 << 31) - 1
+FACTOR = 1_103_515_245
 
 
 def dedupe_cells(cells: DataFrame) -> DataFrame:
@@ -54,109 +57,110 @@ def _block_rows(block: int, size: int, rows: int) -> int:
     return max(0, min(size, rows - block * size))
 
 
-def draw_cells(spark: SparkSession, shape: Shape, blocks: int, first: int, last: int, seed: int = SEED) -> DataFrame:
-    """``(block, draw, row, col)``: draws ``first..last-1`` of every block.
-
-    A draw depends only on seed, block and draw number, not on the partitioning.
-    """
-    size = block_size(shape.rows, blocks)
-    per_block = last - first
-    block = div(F.col("id"), per_block)
-    total = per_block * blocks
-    tasks = max(spark.sparkContext.defaultParallelism, total // DRAWS_PER_TASK)
-    draws = spark.range(0, total, 1, tasks).select(
-        block.alias("block"), (F.col("id") - block * per_block + first).alias("draw")
-    )
-    rows = F.least(F.lit(size), F.lit(shape.rows) - F.col("block") * size)
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("block"), F.col("draw")).cast("binary"))
-    return (
-        draws.where(F.col("block") * size < shape.rows)
-        .withColumn("_digest", digest)
-        .select(
-            "block",
-            "draw",
-            (F.col("block") * size + draw(F.col("_digest"), 1, rows)).alias("row"),
-            draw(F.col("_digest"), 16, shape.cols).alias("col"),
-        )
-    )
-
-
 def inject_zeros(
     cells: DataFrame, shape: Shape, blocks: int, total: int | None = None, factor: float = 1.0, seed: int = SEED
 ) -> DataFrame:
     """``(block, row, col)``: in each row block the wanted number of free cells.
 
-    ``cells`` are the deduplicated positives; ``total`` counts them with repeats. Cells
-    are drawn by number; repeated and taken ones are passed over, and the first draws
-    that are left count. More draws are made if a block ran short.
+    ``cells`` are the deduplicated positives; ``total`` counts them with repeats. The positives of a block, in
+    order, cut it into stretches with :data:`STRETCH` of them each. A stretch gets its share of the zeros by the free cells before and in
+    it, and its ``i``-th zero is the free cell number ``permuted(i)``, found by counting the positives before it. So the zeros are
+    distinct and free from the start: none is drawn twice, looked up or thrown away, and draws are not moved between tasks.
     """
     spark = cells.sparkSession
     wanted = zeros_per_block(cells.count() if total is None else total, shape, blocks, factor)
     # One number per block: the same few the caller asked for.
     taken = {r["block"]: r["count"] for r in _per_block(cells, shape, blocks).collect()}
     size = block_size(shape.rows, blocks)
-    free = [_block_rows(b, size, shape.rows) * shape.cols - taken.get(b, 0) for b in range(blocks)]
-    short = [b for b in range(blocks) if wanted[b] > free[b]]
+    whole = [_block_rows(b, size, shape.rows) * shape.cols for b in range(blocks)]
+    short = [b for b in range(blocks) if wanted[b] > whole[b] - taken.get(b, 0)]
     if short:
         raise ValueError(f"row blocks {short} have fewer free cells than zeros wanted")
+    targets = [(b, whole[b], whole[b] - taken.get(b, 0), wanted[b]) for b in range(blocks) if wanted[b]]
+    targets = spark.createDataFrame(targets, "block bigint, cells bigint, block_free bigint, wanted bigint")
+    shares = with_shares(_stretches(cells, shape, blocks), targets, seed)
+    # A stretch with a wide gap may have many zeros: they are made in runs, and runs are spread over tasks.
+    runs = F.sequence(F.lit(0).cast("bigint"), div(F.col("zeros") - 1, RUN_ZEROS))
+    runs = shares.where("zeros > 0").withColumn("run", F.explode(runs)).repartition("block", "stretch", "run")
+    first = F.col("run") * RUN_ZEROS
+    numbers = F.sequence(first, F.least(first + RUN_ZEROS, F.col("zeros")) - 1)
+    drawn = runs.withColumn("number", F.explode(numbers)).withColumn("rank", permuted(F.col("number"), F.col("free"), F.col("keys")))
+    passed = F.size(F.filter("gaps", lambda gap: gap <= F.col("rank")))
+    cell = F.col("low") + F.col("rank") + passed
+    drawn = drawn.select("block", cell.alias("cell"))
+    return drawn.select("block", (F.col("block") * size + div(F.col("cell"), shape.cols)).alias("row"), (F.col("cell") % shape.cols).alias("col"))
+
+
+def _stretches(cells: DataFrame, shape: Shape, blocks: int) -> DataFrame:
+    """``block, stretch, places``, written: the sorted cell numbers of each :data:`STRETCH` positives of a block."""
+    block = row_block(F.col("row"), shape.rows, blocks).cast("bigint")
+    size = block_size(shape.rows, blocks)
+    place = (F.col("row") - block * size).cast("bigint") * shape.cols + F.col("col")
+    numbered = with_positions(cells.select(block.alias("block"), place.alias("place")), "block", "place", name="at")
+    numbered = written(numbered, "numbered-positives")
+    starts = numbered.groupBy("block").agg(F.min("at").alias("start"))  # one row per block
+    numbered = numbered.join(F.broadcast(starts), "block").withColumn("stretch", div(F.col("at") - F.col("start"), STRETCH))
+    return written(numbered.groupBy("block", "stretch").agg(F.array_sort(F.collect_list("place")).alias("places")), "stretches")
 
-    draws = max(_draws_for(w, f, f + taken.get(b, 0)) for b, (w, f) in enumerate(zip(wanted, free)))
-    targets = spark.createDataFrame(list(enumerate(wanted)), "block bigint, wanted bigint")
-    while True:
-        accepted = written(_accept(draw_cells(spark, shape, blocks, 0, draws, seed), cells), "zero-draws")
-        # One row per block and range of draws.
-        ranges = (
-            accepted.groupBy("block", div(F.col("draw"), DRAW_RANGE).alias("range"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("upto", F.sum("n").over(Window.partitionBy("block").orderBy("range")))
-        )
-        before = F.struct("range", (F.col("upto") - F.col("n")).alias("before"))
-        cuts = written(
-            targets.join(ranges, "block", "left")
-            .groupBy("block", "wanted")
-            .agg(
-                F.coalesce(F.max("upto"), F.lit(0)).alias("got"),
-                F.min(F.when(F.col("upto") >= F.col("wanted"), before)).alias("cut"),
-            ),
-            "zero-cuts",
-        )
-        if cuts.where(F.col("got") < F.col("wanted")).isEmpty():
-            return _first_draws(accepted, cuts)
-        draws *= 2
 
+def with_shares(stretches: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """``block, stretch, low, free, gaps, zeros, keys`` of each stretch of the blocks in ``targets``.
 
-def _per_block(cells: DataFrame, shape: Shape, blocks: int) -> DataFrame:
-    return cells.groupBy(row_block(F.col("row"), shape.rows, blocks).alias("block")).count()
-
+    A stretch goes from its first positive, or the beginning of the block, to the first of the next one. ``gaps`` are the
+    free cells in it before each of its positives. Shares are rounded down at the same free cell for neighbours, so that they add up.
+    """
+    zero = F.lit(0).cast("bigint")
+    ends = stretches.select("block", (F.col("stretch") - 1).alias("stretch"), F.get("places", F.lit(0)).alias("high"))
+    # A block without positives is one stretch. One row per block.
+    rows = targets.join(stretches, "block", "left").withColumn("stretch", F.coalesce("stretch", zero))
+    rows = rows.join(ends, ["block", "stretch"], "left")
+    rows = rows.withColumn("places", F.coalesce("places", F.array().cast("array<bigint>")))
+    rows = rows.withColumn("low", F.when(F.col("stretch") == 0, zero).otherwise(F.get("places", F.lit(0))))
+    rows = rows.withColumn("free", F.coalesce("high", "cells") - F.col("low") - F.size("places"))
+    gaps = F.transform("places", lambda p, i: p - F.col("low") - i)
+    before = F.col("low") - F.col("stretch") * STRETCH
+    # The product of two of these numbers may not fit a long.
+    free, wanted = (F.col(c).cast("decimal(19,0)") for c in ("block_free", "wanted"))
+
+    def share(cells_before: Column) -> Column:
+        return F.call_function("div", cells_before.cast("decimal(19,0)") * wanted, free).cast("bigint")
+
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("block"), F.col("stretch")).cast("binary"))
+    keys = F.array(*[F.conv(F.substring(digest, 1 + 7 * i, 7), 16, 10).cast("bigint") for i in range(ROUNDS)])
+    zeros = share(before + F.col("free")) - share(before)
+    return rows.select("block", "stretch", "low", "free", gaps.alias("gaps"), zeros.alias("zeros"), keys.alias("keys"))
+
+
+def permuted(number: Column, size: Column, keys: Column) -> Column:
+    """A keyed permutation of the numbers below ``size``: a Feistel network on pairs, walked along its cycle until a number is below.
+
+    Pairs (left, right) of numbers below ``a`` and ``b``, with ``a * b`` at least ``size`` and less than ``size + a``, so that hardly any number has
+    to go on; one that does is back after fewer than ``a`` steps.
+    """
+    a = F.floor(F.sqrt(size.cast("double"))).cast("bigint") + 1
+    b = F.call_function("div", size + a - 1, a)
+    once = _feistel(number, a, b, keys)
+    steps = F.sequence(F.lit(1).cast("bigint"), F.greatest(a * b - size, F.lit(1).cast("bigint")))
+    walk = F.aggregate(steps, once, lambda x, _: F.when(x < size, x).otherwise(_feistel(x, a, b, keys)))
+    return F.when(once < size, once).otherwise(walk)
 
-def _draws_for(wanted: int, free: int, all_cells: int) -> int:
-    """Draws that almost surely hit ``wanted`` different free cells."""
-    if wanted == 0:
-        return 1
-    left = max(free - wanted, 0.5)
-    mean = all_cells * (math.log(free) - math.log(left))
-    return math.ceil(mean + 6 * math.sqrt(mean) + 16)
 
+def _feistel(x: Column, a: Column, b: Column, keys: Column) -> Column:
+    left, right = x % a, F.call_function("div", x, a)
+    for i in range(ROUNDS):
+        key = F.get(keys, F.lit(i))
+        if i % 2 == 0:
+            left = (left + _mixed(right, key)) % a
+        else:
+            right = (right + _mixed(left, key)) % b
+    return left + right * a
 
-def _accept(draws: DataFrame, cells: DataFrame) -> DataFrame:
-    # Grouped by the join key alone, so that the anti join needs no further shuffle of the draws.
-    first = draws.groupBy("row", "col").agg(F.min("draw").alias("draw"), F.first("block").alias("block"))
-    return anti_positive_cells(first, cells)
 
+def _mixed(x: Column, key: Column) -> Column:
+    """A keyed number below a prime of 31 bits; no product outgrows 64 bits."""
+    t = (x + key) % PRIME
+    return ((t * t) % PRIME * FACTOR) % PRIME
 
-def _first_draws(accepted: DataFrame, cuts: DataFrame) -> DataFrame:
-    """The first ``wanted`` draws of each block.
 
-    Whole ranges before the cut go through; only the range with the cut, which has at
-    most ``DRAW_RANGE`` draws, is ranked.
-    """
-    # One row per block.
-    marked = accepted.join(F.broadcast(cuts.where(F.col("wanted") > 0)), "block").withColumn(
-        "_range", div(F.col("draw"), DRAW_RANGE)
-    )
-    before = marked.where(F.col("_range") < F.col("cut.range"))
-    at_cut = marked.where(F.col("_range") == F.col("cut.range")).withColumn(
-        "_place", F.row_number().over(Window.partitionBy("block").orderBy("draw"))
-    )
-    at_cut = at_cut.where(F.col("_place") <= F.col("wanted") - F.col("cut.before"))
-    return before.select("block", "row", "col").unionByName(at_cut.select("block", "row", "col"))
+def _per_block(cells: DataFrame, shape: Shape, blocks: int) -> DataFrame:
+    return cells.groupBy(row_block(F.col("row"), shape.rows, blocks).alias("block")).count()

@@ -1,3 +1,4 @@
+import math
 import random
 import struct
 from hashlib import md5
@@ -111,43 +112,91 @@ def test_merge_by_definition(spark, points):
     assert coordinates(df) == want
 
 
-def draws_by_definition(cells, shape, blocks, total, factor, seed):
-    """Plain rejection sampling over the same numbered draws."""
+def permuted_by_definition(number, size, keys):
+    a = math.isqrt(size) + 1
+    b = -(-size // a)
+
+    def mixed(x, key):
+        t = (x + key) % zeros.PRIME
+        return t * t % zeros.PRIME * zeros.FACTOR % zeros.PRIME
+
+    while True:
+        left, right = number % a, number // a
+        for i, key in enumerate(keys):
+            if i % 2 == 0:
+                left = (left + mixed(right, key)) % a
+            else:
+                right = (right + mixed(left, key)) % b
+        number = left + right * a
+        if number < size:
+            return number
+
+
+def zeros_by_definition(cells, shape, blocks, total, factor, seed):
+    """The free cells of each stretch of a block, written out and picked by number."""
     size, out = block_size(shape.rows, blocks), set()
     for block in range(blocks):
         rows = min(size, shape.rows - block * size)
-        wanted, n, taken = int(total / shape.rows * rows * factor), 0, set(cells)
-        got = 0
-        while got < wanted:
-            digest = md5(f"{seed}:{block}:{n}".encode()).hexdigest()
-            cell = (block * size + int(digest[:15], 16) % rows, int(digest[15:30], 16) % shape.cols)
-            n += 1
-            if cell not in taken:
-                taken.add(cell)
-                out.add((block, *cell))
-                got += 1
+        wanted = int(total / shape.rows * rows * factor)
+        places = sorted((r - block * size) * shape.cols + c for r, c in cells if r // size == block)
+        free = [x for x in range(rows * shape.cols) if x not in set(places)]
+        heads = [0, *places[zeros.STRETCH :: zeros.STRETCH], rows * shape.cols]
+        before = 0
+        for stretch, (low, high) in enumerate(zip(heads, heads[1:])):
+            mine = [x for x in free if low <= x < high]
+            n = (before + len(mine)) * wanted // len(free) - before * wanted // len(free) if wanted else 0
+            digest = md5(f"{seed}:{block}:{stretch}".encode()).hexdigest()
+            keys = [int(digest[7 * i : 7 * i + 7], 16) for i in range(zeros.ROUNDS)]
+            picked = [mine[permuted_by_definition(i, len(mine), keys)] for i in range(n)]
+            out |= {(block, block * size + x // shape.cols, x % shape.cols) for x in picked}
+            before += len(mine)
     return out
 
 
-@pytest.mark.parametrize("rows, cols, points, blocks, factor", [(50, 40, 300, 4, 1.0), (10, 10, 45, 3, 0.6), (17, 9, 20, 1, 2.0), (20, 5, 10, 4, 0.0)])
+@pytest.mark.parametrize("rows, cols, points, blocks, factor", [(50, 40, 300, 4, 1.0), (10, 10, 45, 3, 0.6), (17, 9, 20, 1, 2.0), (20, 5, 10, 4, 0.0), (40, 7, 3, 8, 4.0)])
 def test_zeros_by_definition(spark, monkeypatch, rows, cols, points, blocks, factor):
-    monkeypatch.setattr(zeros, "DRAW_RANGE", 16)
+    monkeypatch.setattr(zeros, "STRETCH", 16)
+    monkeypatch.setattr(zeros, "RUN_ZEROS", 5)
     cells, shape = matrix(rows, cols, points), Shape(rows, cols)
     df = stored(spark, cells, rows, blocks).select("row", "col", "value")
     got = zeros.inject_zeros(df, shape, blocks, points, factor, seed=3)
-    want = draws_by_definition(cells, shape, blocks, points, factor, 3)
+    want = zeros_by_definition(cells, shape, blocks, points, factor, 3)
     found = [(r["block"], r["row"], r["col"]) for r in got.collect()]
     assert len(found) == len(want) and set(found) == want
     both = zeros.union_zeros(df, got)
     assert both.count() == points + len(want) == both.select("row", "col").distinct().count()
 
 
-def test_more_draws_if_short(spark, monkeypatch):
-    monkeypatch.setattr(zeros, "_draws_for", lambda wanted, free, all_cells: 1)
-    cells, shape = matrix(10, 10, 30), Shape(10, 10)
-    df = stored(spark, cells, 10, 2).select("row", "col", "value")
-    got = {(r["block"], r["row"], r["col"]) for r in zeros.inject_zeros(df, shape, 2, 30, 1.0, 3).collect()}
-    assert got == draws_by_definition(cells, shape, 2, 30, 1.0, 3)
+def test_permutation(spark):
+    sizes = [*range(1, 60), 97, 1000, 4096]
+    keys = F.array(*[F.lit(k).cast("bigint") for k in (11, 268435455, 0, 77777)])
+    df = spark.createDataFrame([(n,) for n in sizes], "size bigint").withColumn("number", F.explode(F.sequence(F.lit(0), F.col("size") - 1)))
+    rows = df.select("size", "number", zeros.permuted(F.col("number"), F.col("size"), keys).alias("to")).collect()
+    for n in sizes:
+        mine = {r.number: r.to for r in rows if r.size == n}
+        assert sorted(mine.values()) == list(range(n))
+        assert mine == {i: permuted_by_definition(i, n, [11, 268435455, 0, 77777]) for i in range(n)}
+    large = {r.number: r.to for r in rows if r.size == 4096}
+    assert sum(abs(v - k) < 64 for k, v in large.items()) < 400  # neighbours are parted
+
+
+def test_zeros_are_spread_over_all_free_cells(spark, monkeypatch):
+    monkeypatch.setattr(zeros, "RUN_ZEROS", 100)
+    cells, shape = matrix(300, 200, 500), Shape(300, 200)
+    df = stored(spark, cells, 300, 1).select("row", "col", "value")
+    hits = [0] * 10
+    for seed in range(6):
+        found = zeros.inject_zeros(df, shape, 1, 500, 2.0, seed)
+        for r in found.collect():
+            hits[r["row"] // 30] += 1
+    assert sum(hits) == 6000 and all(abs(h - 600) < 60 for h in hits)
+
+
+def test_draws_are_not_moved(spark):
+    df = stored(spark, matrix(50, 40, 300), 50, 4).select("row", "col", "value")
+    plan = zeros.inject_zeros(df, Shape(50, 40), 4)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("explode(sequence((run")]
+    assert not any(word in above for word in ("Join", "Aggregate", "Repartition", "Window", "Sort"))
 
 
 def test_zeros_may_fill_a_block_but_not_more(spark):
