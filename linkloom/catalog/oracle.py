@@ -11,9 +11,9 @@ from linkloom.catalog.inputs import (
     TUPLES_PER_LINE,
     VIEWS_SQL,
 )
+from linkloom.functions.text import INTERNAL_TITLE
 
-# The same pattern as in linkloom.functions.text.
-INTERNAL = "^(Help|Draft|Category|File|User|Talk|(S|s)pecial|Wikipedia|Template)(_talk)?:"
+INTERNAL = INTERNAL_TITLE
 
 
 # The permutation of linkloom.operators.zeros.

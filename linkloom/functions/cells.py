@@ -45,12 +45,6 @@ def category_col(category_id: Column, pages: int) -> Column:
     return category_id + F.lit(2 * pages)
 
 
-def draw(digest: Column, start: int, bound: Column | int) -> Column:
-    """A number in ``[0, bound)`` from 15 hexadecimal digits of a digest."""
-    digits = F.conv(F.substring(digest, start, 15), 16, 10).cast("bigint")
-    return F.pmod(digits, bound if isinstance(bound, Column) else F.lit(bound))
-
-
 def dot(left: Column, right: Column) -> Column:
     return F.aggregate(
         F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,15 @@ def file_order() -> list[Column]:
     return [natural_key(F.col("file")), F.col("file"), F.col("block")]
 
 
+def in_file_order(lines: DataFrame, *before, after: Sequence = ()) -> DataFrame:
+    """``lines`` sorted by ``before``, their place in the files and ``after``.
+
+    The sortable form of the file name is made once per line; as a sort key it would be made again for every comparison.
+    """
+    keyed = lines.withColumn("_file_key", natural_key(F.col("file")))
+    return keyed.orderBy(*before, "_file_key", "file", "block", "slot", *after).drop("_file_key")
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line_no``, the 0-based line number over all files in name order.
 

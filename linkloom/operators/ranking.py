@@ -9,7 +9,7 @@ from linkloom.functions.cells import count_shard_name, hash_shard
 from linkloom.functions.views import count_field, is_decodable, last_field, project_of, title_of
 from linkloom.functions.text import is_internal, parse_int
 from linkloom.operators.lookup import lookup_join
-from linkloom.operators.positions import file_order, with_positions
+from linkloom.operators.positions import in_file_order, with_positions
 from linkloom.runtime import written
 
 # Above this many rows a top-n is cut by position; below, each task sends its own top n to one task.
@@ -119,11 +119,8 @@ def merge_ranked(lines: DataFrame) -> DataFrame:
     """
     key = parse_int(F.substring_index("value", "\t", -1))
     bad = F.raise_error(F.concat(F.lit("No count at the end of: "), F.col("value"))).cast("bigint")
-    return (
-        lines.withColumn("count", F.coalesce(key, bad))
-        .orderBy(F.desc("count"), F.asc("value"), *file_order(), "slot")
-        .select("value", "count")
-    )
+    counted = lines.withColumn("count", F.coalesce(key, bad))
+    return in_file_order(counted, F.desc("count"), F.asc("value")).select("value", "count")
 
 
 def top_n_pages(counts: DataFrame, n: int) -> DataFrame:

@@ -9,7 +9,7 @@ from linkloom.functions.cells import hash_shard
 from linkloom.operators import dumps as op
 from linkloom.operators.factors import export_vectors, fit_embeddings
 from linkloom.operators.links import MIN_LINKS, build_cells, matrix_shape
-from linkloom.operators.positions import file_order, with_positions
+from linkloom.operators.positions import in_file_order, with_positions
 from linkloom.operators.ranking import (
     drop_internal_ranked, filter_project, merge_ranked, shard_filter, top_n_pages, undecodable_lines,
 )
@@ -63,7 +63,7 @@ def merge_files(spark: SparkSession, input_path: str, output_path: str, limit: i
 def clean_file(spark: SparkSession, input_path: str, output_path: str) -> None:
     """A finished ranking without talk, user and other internal pages, in its order."""
     lines = drop_internal_ranked(source.read_lines(spark, input_path))
-    sinks.write_lines(lines, output_path, *file_order(), "slot")
+    sinks.write_ordered(in_file_order(lines), output_path)
 
 
 def filter_file(

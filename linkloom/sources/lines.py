@@ -67,23 +67,23 @@ def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gzip_fault(content: bytes, piece: int = 1 << 20) -> str | None:
-    """What is wrong with a gzip file, if anything."""
-    if not content:
-        return None
-    unpack, rest = zlib.decompressobj(wbits=31), memoryview(content)
+    """What is wrong with a gzip file, if anything. It may hold several members, and zero bytes after the last."""
+    whole, at = memoryview(content), 0
     try:
-        while len(rest):
-            unpack.decompress(rest[:piece])
-            rest = rest[min(piece, len(rest)) :]
-            if unpack.eof:
-                # A file may hold several members, one after the other.
-                rest = memoryview(bytes(unpack.unused_data) + bytes(rest))
-                unpack = zlib.decompressobj(wbits=31)
-                if not len(rest):
-                    return None
+        while at < len(whole):
+            unpack = zlib.decompressobj(wbits=31)
+            while at < len(whole) and not unpack.eof:
+                unpack.decompress(whole[at : at + piece])
+                at += min(piece, len(whole) - at) - len(unpack.unused_data)
+            if not unpack.eof:
+                return "breaks off"
+            while at < len(whole) and not whole[at]:
+                # Padding, a piece at a time as far as it is all zeros.
+                filled = bytes(whole[at : at + piece])
+                at += len(filled) - len(filled.lstrip(b"\0"))
     except zlib.error as error:
         return f"not gzip data: {error}"
-    return "breaks off"
+    return None
 
 
 def scan_dump(spark: SparkSession, path: str) -> DataFrame:

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.cells import hash_shard
-from linkloom.operators.positions import file_order
+from linkloom.operators.positions import in_file_order
 from linkloom.operators.ranking import rank_desc, rank_line, rank_order, with_count_shard
 
 
 def write_lines(lines: DataFrame, path: str, *order, mode: str = "errorifexists") -> None:
     """Write ``value`` in a global order, from a range-partitioned sort."""
-    lines.orderBy(*order).select("value").write.mode(mode).option("lineSep", "\n").text(path)
+    write_ordered(lines.orderBy(*order), path, mode)
+
+
+def write_ordered(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write ``value`` of sorted lines."""
+    lines.select("value").write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def write_ranked(counts: DataFrame, path: str) -> None:
@@ -32,13 +37,13 @@ def write_shard_counts(counts: DataFrame, path: str, shards: int) -> None:
     )
 
 
-def _line_order(df: DataFrame) -> list[Column]:
-    return [F.col("line_no")] if "line_no" in df.columns else [*file_order(), F.col("slot")]
+def _in_line_order(df: DataFrame, *after: str) -> DataFrame:
+    return df.orderBy("line_no", *after) if "line_no" in df.columns else in_file_order(df, after=after)
 
 
 def write_dump(rebuilt: DataFrame, path: str) -> None:
     """Rebuilt dump lines in input order."""
-    write_lines(rebuilt, path, *_line_order(rebuilt))
+    write_ordered(_in_line_order(rebuilt), path)
 
 
 def write_dump_chunks(rebuilt: DataFrame, path: str) -> None:
@@ -54,7 +59,7 @@ def write_dump_chunks(rebuilt: DataFrame, path: str) -> None:
 
 def write_ids(ids: DataFrame, path: str) -> None:
     """Ids of surviving tuples, one per line, in input order."""
-    write_lines(ids.withColumn("value", F.col("id").cast("string")), path, *_line_order(ids), "pos")
+    write_ordered(_in_line_order(ids.withColumn("value", F.col("id").cast("string")), "pos"), path)
 
 
 def write_id_chunks(ids: DataFrame, path: str) -> None:

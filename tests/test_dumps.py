@@ -7,6 +7,7 @@ from linkloom.plans.dump_filter import filter_dumps, filter_tuples
 from linkloom.sources import lines as source
 from linkloom.sources import sinks
 
+# Dump lines.
 HEADER, FOOTER = "/* Header */", "/* Footer */"
 ANARCHISM = "(12,0,'Anarchism','',0,0,0.786172332974311,'20190120003623','20190120011642',878871297,198626,'wikitext',NULL)"
 COMPUTING = "(10,0,'AccessibleComputing','',1,0,0.33167112649574004,'20190116190543','20190105021557',854851586,94,'wikitext',NULL)"

@@ -25,6 +25,7 @@ def logs(folder, files):
     return str(folder)
 
 
+# Log lines and the ranking expected of them.
 HOURS = {
     "pageviews-20190101-000000.gz": [
         "de Albert_Einstein 50 0",
@@ -109,13 +110,29 @@ def test_corrupt_files(spark, tmp_path):
     (tmp_path / "pageviews-20190101-020000.gz").write_bytes(b"no gzip at all\n")
     whole = gzip.compress("".join(f"en page_{i} 1 0\n" for i in range(200_000)).encode())
     (tmp_path / "pageviews-20190101-030000.gz").write_bytes(whole[: len(whole) // 2])
-    counts = dict(pairs(count_pages(source.scan_pageviews(spark, str(tmp_path)), on_error="drop")))
+    counts = dict(pairs(count_pages(source.scan_pageviews(spark, str(tmp_path), skip_corrupt=True), on_error="drop")))
     assert counts["Albert_Einstein"] == 13
     assert 0 < sum(title.startswith("page_") for title in counts) < 200_000
     with pytest.raises(Exception):
         source.scan_pageviews(spark, str(tmp_path), skip_corrupt=False).count()
 
 
+def test_gzip_faults():
+    members = gzip.compress(b"a" * 5000) + gzip.compress(b"") + gzip.compress(bytes(range(256)) * 20)
+    for piece in (1, 7, 100, 1 << 20):
+        for whole in (b"", members, members + b"\0" * 700, gzip.compress(b"x") + b"\0\0" + members):
+            assert source.gzip_fault(whole, piece) is None
+        assert source.gzip_fault(members[:-3], piece) == "breaks off"
+        assert source.gzip_fault(members + b"\0tail", piece).startswith("not gzip")
+
+
+def test_merge_sorts_by_columns(spark):
+    lines = spark.createDataFrame([("a\t1", "f-1", 0, 0)], "value string, file string, block long, slot long")
+    plan = op.merge_ranked(lines)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line or "rangepartitioning" in line]
+    assert sorts and not any("regexp" in line for line in sorts)
+
+
 def test_first_run_only(spark, tmp_path):
     files = {
         "pageviews-1-1.gz": ["de a 1 0", "en a 1 0", "en b 1 0", "fr a 1 0", "en c 1 0"],
