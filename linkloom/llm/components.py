@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import written
+from linkloom.llm.common import attach, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,19 +14,19 @@ def components(edges: DataFrame) -> DataFrame:
     Every vertex is tied to the smallest of its neighbours, first the larger neighbours and
     then the smaller ones, until nothing changes; each pass is two aggregates and two joins over
     the edges, whose number never grows. The minima of a vertex with very many edges are
-    partial aggregates, and its edges are split by the adaptive join.
+    partial aggregates, written and joined like any lookup, with the edges of such a vertex in slices.
     """
     edges = written(_canonical(edges), "edges")
     state = _state(edges)
     while True:
         # Larger neighbours go to the smallest one.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("least").alias("a"), "b")
+        least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least-neighbours")
+        large = attach(both.where("b > a"), least, ["a"], spread_by=["b"]).select(F.col("least").alias("a"), "b")
         large = written(_canonical(large), "large-star")
         # Then a vertex and its smaller neighbours go to the smallest of these.
-        least = large.groupBy("b").agg(F.min("a").alias("least"))
-        small = large.join(least, "b").select(F.col("least").alias("a"), F.col("a").alias("b"))
+        least = written(large.groupBy("b").agg(F.min("a").alias("least")), "least-below")
+        small = attach(large, least, ["b"], spread_by=["a"]).select(F.col("least").alias("a"), F.col("a").alias("b"))
         edges = written(_canonical(small.unionByName(least.select(F.col("least").alias("a"), "b"))), "small-star")
         now = _state(edges)
         if now == state:

@@ -10,9 +10,11 @@ Nothing is done for all pairs of a group:
 1. Documents with equal shingle sets are one node, which counts once.
 2. In each band value the node that shares most bands with others is the centre and is compared
    with each other node there. This links nearly all of a group, with one comparison per row.
-3. Band values that still hold several components are searched for the rest in blocks of
-   nodes: longer signatures of different components, one byte per value, are compared inside a task and only
-   pairs that can reach the similarity (five standard errors below 0.8 at least) are compared in full.
+3. Band values that still hold several components are searched for the rest in blocks of nodes. Nodes of the largest
+   component there are compared with the others only. Inside a task a pair of different components is compared in the first band
+   value that it shares: by longer signatures, one byte per value, and if these can reach the similarity
+   (five standard errors below 0.8 at least) by the full sets. A link joins its components there and then, so that a block
+   gives fewer links than it has components, not all of its pairs.
 
 Defined results: null or blank texts have no shingles and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Rows without id are linked with nothing and get
@@ -43,8 +45,9 @@ BANDS = 2 * PERMUTATIONS // ROWS_PER_BAND
 # below: the expected one at similarity 0.8, less five standard errors. One in 256 other bytes is equal by chance.
 FINE_PERMUTATIONS = 576
 LEAST_EQUAL = 0.8 + 0.2 / 256 - 5 * (0.16 / (2 * FINE_PERMUTATIONS)) ** 0.5
-# Nodes of one band value are compared in blocks of this many.
-BLOCK_NODES = 2048
+# Nodes of one band value are compared in blocks of about this many, and of about as many bytes of shingles.
+BLOCK_NODES = 512
+BLOCK_BYTES = 16 << 20
 # Shingles hashed at once under all permutations.
 _CHUNK = 1024
 
@@ -174,46 +177,86 @@ def centre_pairs(members: DataFrame) -> DataFrame:
     return written(pairs.select("a", F.col("node").alias("b")).distinct(), "centre-pairs")
 
 
-def remaining_pairs(members: DataFrame, roots: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """``a, b``, written: nodes that share a band, lie in different components and whose signatures are close."""
+def open_bands(labelled: DataFrame) -> DataFrame:
+    """``band, main, a, b``, written: band values with several components, the largest of these, and numbers of blocks.
+
+    The nodes of the main component make ``a`` blocks, the others ``b``; a small band value is one block, without a main one.
+    """
+    size = (F.sum(F.col("n_shingles") * 8) / BLOCK_BYTES).alias("weight")
+    parts = labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("nodes"), size)
+    bands = parts.groupBy("band").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("nodes").alias("nodes"), F.sum("weight").alias("weight"),
+        F.max(F.struct("nodes", "root", "weight")).alias("top"),
+    )
+
+    def blocks(nodes, weight):
+        return F.greatest(F.ceil(nodes / BLOCK_NODES), F.ceil(weight), F.lit(1)).cast("int")
+
+    single = (F.col("nodes") <= BLOCK_NODES) & (F.col("weight") <= 1)
+    a = F.when(single, 0).otherwise(blocks(F.col("top.nodes"), F.col("top.weight")))
+    b = F.when(single, 1).otherwise(blocks(F.col("nodes") - F.col("top.nodes"), F.col("weight") - F.col("top.weight")))
+    return written(bands.where("parts > 1").select("band", F.col("top.root").alias("main"), a.alias("a"), b.alias("b")), "open-bands")
+
+
+def remaining_links(members: DataFrame, roots: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``a, b``, written: links between different components whose nodes share a band, enough to join all that have one."""
     labelled = attach(members, roots.withColumnRenamed("vertex", "node"), ["node"], "left", spread_by=["band"])
-    labelled = written(labelled.select("band", "node", F.coalesce("root", "node").alias("root")), "labelled-members")
-    open_bands = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("nodes"))
-    open_bands = written(open_bands.where("low != high").select("band", "nodes"), "open-bands")
-    rows = written(attach(labelled, open_bands, ["band"], spread_by=["node"]), "open-members")
+    labelled = written(labelled.select("band", "node", "n_shingles", F.coalesce("root", "node").alias("root")), "labelled-members")
+    rows = written(attach(labelled, open_bands(labelled), ["band"], spread_by=["node"]), "open-members")
     wanted = written(rows.select("node").distinct(), "open-nodes")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in batches_by_bytes(whole, "text"):
-                signed = [min_max_signature(s, FINE_PERMUTATIONS).astype(np.uint8).tobytes() for s in shingle_sets(batch.column("text"), words)]
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signed, pa.binary())], ["node", "signature"])
-
-    signatures = attach(texts, wanted, ["node"], "left_semi").mapInArrow(sign, "node binary, signature binary")
+                signed, keys, sets = [], [], []
+                for members in shingle_sets(batch.column("text"), words):
+                    fine = min_max_signature(members, FINE_PERMUTATIONS)
+                    signed.append(fine.astype(np.uint8).tobytes())
+                    # The first permutations are those of the bands.
+                    keys.append(band_keys(fine[None, : 2 * PERMUTATIONS]).tobytes())
+                    sets.append(members.tobytes())
+                columns = [batch.column("node"), *(pa.array(x, pa.binary()) for x in (signed, keys, sets))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "signature", "bands", "members"])
+
+    signatures = attach(texts, wanted, ["node"], "left_semi").mapInArrow(sign, "node binary, signature binary, bands binary, members binary")
     signatures = written(signatures, "open-signatures")
-    # Block x of a band value meets every block y; the task of (x, y) holds at most two blocks.
-    blocks = F.ceil(F.col("nodes") / BLOCK_NODES).cast("int")
-    mine = F.pmod(F.hash("node"), blocks)
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # The task of the blocks (x, y) holds these two; no task holds two blocks of the main component.
+    is_main = (F.col("a") > 0) & (F.col("root") == F.col("main"))
+    spot = F.hash("node")
+    mine = F.when(is_main, F.pmod(spot, F.greatest("a", F.lit(1)))).otherwise(F.col("a") + F.pmod(spot, F.col("b")))
+    first = F.when(is_main, F.col("a")).otherwise(F.lit(0))
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(first, F.col("a") + F.col("b") - 1)))
     rows = rows.select("band", "node", "root", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"))
     rows = attach(rows, signatures, ["node"], spread_by=["band", "x", "y"], broadcast_bytes=0)
-
-    def close(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        _, x, y = key
-        signed = np.frombuffer(b"".join(block["signature"]), dtype=np.uint8).reshape(len(block), -1)
-        names, of = block["node"].to_numpy(), block["mine"].to_numpy()
-        roots = pd.factorize(block["root"])[0]
-        right = np.flatnonzero(of == y)
-        found = []
-        for i in np.flatnonzero(of == x):
-            others = right[right > i] if x == y else right
-            others = others[roots[others] != roots[i]]
-            near = (signed[others] == signed[i]).mean(axis=1) >= LEAST_EQUAL
-            found += [(min(names[i], names[j]), max(names[i], names[j])) for j in others[near]]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    pairs = rows.groupBy("band", "x", "y").applyInPandas(close, "a binary, b binary")
-    return written(pairs.distinct(), "remaining-pairs")
+    return written(rows.groupBy("band", "x", "y").applyInPandas(block_links, "a binary, b binary").distinct(), "remaining-links")
+
+
+def block_links(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
+    """Links between the nodes of two blocks of a band value that join different components, fewer than there are components."""
+    band, x, y = key
+    block = block.sort_values("node", ignore_index=True)
+    signed = np.frombuffer(b"".join(block["signature"]), dtype=np.uint8).reshape(len(block), -1)
+    bands = np.frombuffer(b"".join(block["bands"]), dtype=np.int64).reshape(len(block), -1)
+    sets = [np.frombuffer(s, dtype=np.uint64) for s in block["members"]]
+    sizes = np.array([len(s) for s in sets])
+    names, of = block["node"].to_numpy(), block["mine"].to_numpy()
+    label = pd.factorize(block["root"])[0]
+    right, found = np.flatnonzero(of == y), []
+    for i in np.flatnonzero(of == x):
+        others = right[right > i] if x == y else right
+        others = others[label[others] != label[i]]
+        others = others[100 * np.minimum(sizes[others], sizes[i]) >= PERCENT * np.maximum(sizes[others], sizes[i])]
+        same = bands[others] == bands[i]
+        others = others[bands[i][same.argmax(axis=1)] == band] if len(others) else others
+        others = others[(signed[others] == signed[i]).mean(axis=1) >= LEAST_EQUAL] if len(others) else others
+        for j in others:
+            if label[i] == label[j]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= PERCENT * (sizes[i] + sizes[j] - both):
+                found.append((min(names[i], names[j]), max(names[i], names[j])))
+                label[label == label[j]] = label[i]
+    return pd.DataFrame(found, columns=["a", "b"])
 
 
 def near_dedup(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,7 +274,7 @@ def near_dedup(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col
     texts = node_texts(docs, written(members.select("node", "first_id").distinct(), "shared-nodes"), words)
     links = confirmed(centre_pairs(members), texts, words)
     roots = components(links)
-    more = confirmed(remaining_pairs(members, roots, texts, words), texts, words)
+    more = remaining_links(members, roots, texts, words)
     if not more.isEmpty():
         roots = components(roots.where("root != vertex").select(F.col("root").alias("a"), F.col("vertex").alias("b")).unionByName(more))
     # The smallest id of each component, for nodes that are not a single document.

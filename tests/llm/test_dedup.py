@@ -9,6 +9,7 @@ from compare import checker, compare
 from conftest import DATA, prose
 
 from linkloom.llm import exact_dedup, near_dedup
+from linkloom.llm.common import written
 from linkloom.llm.components import components
 from linkloom.llm.queries import ORACLES, QUERIES
 
@@ -74,6 +75,32 @@ def test_near_rest_is_found_where_centres_miss_it(spark):
     assert got == {1: 1, 2: 2, 3: 2, 4: 4, 5: 4} == {i: c for i, (_, c) in near_components(docs, 2).items()}
 
 
+@pytest.mark.parametrize("nodes, size", [(512, 16 << 20), (20, 16 << 20), (512, 20_000)])
+def test_near_group_in_blocks(spark, monkeypatch, nodes, size):
+    """Copies of similarity 0.6 to 0.9: the same components for any size of blocks, and few links out of them."""
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", nodes)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", size)
+    made, base = [], prose(7, 120).split()
+    monkeypatch.setattr(near_dedup, "written", lambda df, label: made.append((label, out := written(df, label))) or out)
+    docs = [{"doc_id": i, "text": _noisy(base, 0.02 + 0.05 * (i % 40) / 40, i)} for i in range(400)]
+    docs += [{"doc_id": 1000 + i, "text": " ".join(base[: 118 - i % 3])} for i in range(60)]
+    got = near_dedup.near_dedup(spark.createDataFrame([(d["doc_id"], d["text"]) for d in docs], "doc_id bigint, text string"), 2).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == near_components(docs, 2)
+    links = dict(made)["remaining-links"]
+    open_nodes = dict(made)["open-nodes"]
+    assert links.count() < 4 * open_nodes.count()
+
+
+def test_components_of_a_hub(spark, monkeypatch):
+    from linkloom.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common.attach, "__defaults__", ("inner", None, 50, 0, None))
+    edges = [(5, i) for i in range(6, 600)] + [(i, 5000 + i) for i in range(6, 300)]
+    got = {r["vertex"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {v: 5 for e in edges for v in e}
+
+
 def test_min_max_signature_estimates_similarity():
     draw = np.random.default_rng(3)
     pool = draw.integers(0, 1 << 63, 6000, dtype=np.uint64) * np.uint64(2)
