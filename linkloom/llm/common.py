@@ -13,7 +13,7 @@ from linkloom import runtime
 from linkloom.runtime import delete_path, new_path
 
 __all__ = [
-    "attach", "drop_documents", "first_rows", "fresh", "ids_not_kept", "new_path", "packed", "passing", "ship_package", "table", "written",
+    "attach", "column", "columns", "drop_documents", "first_rows", "fresh", "ids_not_kept", "new_path", "packed", "passing", "ship_package", "table", "written",
 ]
 
 # A lookup is broadcast up to this measured size; a larger one is joined by key.
@@ -65,6 +65,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def columns(df: DataFrame) -> list[Column]:
+    return [column(c) for c in df.columns]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}
@@ -93,7 +102,7 @@ def ids_not_kept(decisions: DataFrame, id_col: str, kept: Column) -> DataFrame:
 
 def packed(docs: DataFrame, *keys: str | Column) -> DataFrame:
     """``row, *keys``: whole rows in one column, so that their other columns meet no name used on the way."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys)
+    return docs.select(F.struct(*columns(docs)).alias("row"), *keys)
 
 
 def drop_documents(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
@@ -105,6 +114,6 @@ def first_rows(docs: DataFrame, keys: Sequence[Column]) -> DataFrame:
     """One row of each group of rows equal in ``keys``; partial aggregates, so a large group is no problem."""
     row = fresh(docs, "_row_value")
     names = [f"{row}_{i}" for i in range(len(keys))]
-    whole = F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(row)
+    whole = F.first(F.struct(*columns(docs))).alias(row)
     groups = docs.groupBy(*[k.alias(n) for k, n in zip(keys, names, strict=True)]).agg(whole)
     return groups.select(f"{row}.*")

@@ -2,8 +2,8 @@
 
 Misra-Gries counters find the digests that may hold more than a share of all rows; an exact
 count verifies them. These winners, fewer than ``1 / support`` of them, are broadcast, and
-their copies are resolved where they are read. Only the other digests are shuffled, and none
-of them holds more than that share of the rows.
+their copies are resolved where they are read. Only the other digests are shuffled, counted by partial aggregates, and
+those that several rows have are joined back by digest, in slices where they still have many rows.
 
 Defined results: a null text counts as empty, and empty texts are copies of one another. Of
 equal texts the row with the largest id stays; a null id is smaller than any other. Of rows
@@ -13,10 +13,10 @@ An empty table gives an empty result. Other columns are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import drop_documents, first_rows, fresh, ids_not_kept, table, written
+from linkloom.llm.common import HOT_ROWS, attach, columns, drop_documents, first_rows, fresh, ids_not_kept, table, written
 
 # A digest with more than this share of all rows is resolved by broadcast.
 SUPPORT = 0.001
@@ -58,12 +58,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     digests = written(digests.withColumn("row", F.monotonically_increasing_id()), "digests")
     winners = heavy_hitters(digests, support)
     heavy = digests.join(F.broadcast(winners), "text_sha256")
-    group = Window.partitionBy("text_sha256")
-    others = (
-        digests.join(F.broadcast(winners), "text_sha256", "left_anti")
-        .withColumn("keep", F.max(F.struct("doc_id", F.negative("row").alias("row"))).over(group))
-        .withColumn("group_size", F.count(F.lit(1)).over(group))
-    )
+    others = digests.join(F.broadcast(winners), "text_sha256", "left_anti")
+    # Counted with partial aggregates; a digest with many rows all the same is joined in slices.
+    groups = written(others.groupBy("text_sha256").agg(_best(), _size()).where("group_size > 1"), "equal-digests")
+    hot = groups.where(F.col("group_size") > HOT_ROWS).select("text_sha256", F.col("group_size").alias("_rows"))
+    others = attach(others, groups, ["text_sha256"], "left", spread_by=["row"], hot=hot)
+    alone = F.struct("doc_id", F.negative("row").alias("row"))
+    others = others.withColumn("keep", F.when(F.col("group_size").isNull(), alone).otherwise(F.col("keep")))
+    others = others.withColumn("group_size", F.coalesce("group_size", F.lit(1)))
     return heavy.unionByName(others).select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
@@ -87,9 +89,9 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if again.isEmpty():
         return stay
     known = again.withColumn(fresh(docs, "_again"), F.lit(True))
-    marked = stay.join(known, "doc_id", "left").select(*docs.columns, known.columns[1])
-    single = first_rows(marked.where(F.col(known.columns[1])).select(*docs.columns), [F.col("doc_id"), digest(F.col("text"))])
-    return marked.where(F.col(known.columns[1]).isNull()).select(*docs.columns).unionByName(single)
+    marked = stay.join(known, "doc_id", "left").select(*columns(docs), known.columns[1])
+    single = first_rows(marked.where(F.col(known.columns[1])).select(*columns(docs)), [F.col("doc_id"), digest(F.col("text"))])
+    return marked.where(F.col(known.columns[1]).isNull()).select(*columns(docs)).unionByName(single)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

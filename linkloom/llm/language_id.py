@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import ship_package, table, written
+from linkloom.llm.common import columns, ship_package, table, written
 from linkloom.llm.words import batches_by_bytes, text_bytes
 
 UNKNOWN = "und"
@@ -117,7 +117,8 @@ def training_counts(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
     # A hash below this share of its range leaves about half as many rows again; the rest are cut by rank.
     share = F.least(F.lit(1.0), 1.5 * per_language / F.col("docs"))
-    order = F.xxhash64("doc_id", F.length("text"))
+    # Rows with the same id are told apart by their text; those equal in both are the same to the model.
+    order = F.xxhash64("doc_id", "text")
     place = F.pmod(order, F.lit(1 << 30)) / (1 << 30)
     chosen = labelled.withColumn("order", order).withColumn("place", place)
     chosen = chosen.join(F.broadcast(sizes), "lang").where(F.col("place") < share)
@@ -280,22 +281,21 @@ def language_id_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = fit(docs)
     sent = spark.sparkContext.broadcast(model)
     schema = docs.schema
-    letters = "_letters"
-    while letters in docs.columns:
-        letters = f"_{letters}"
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for whole in batches:
             for batch in batches_by_bytes(whole, "text"):
-                known = batch.column(letters).to_numpy(zero_copy_only=False)
+                known = batch.column("letters").to_numpy(zero_copy_only=False)
                 stay = [
                     bool(k) and bool(model.languages) and _judged(model, text)[1]
                     for text, k in zip(lowered(batch.column("text")), known, strict=True)
                 ]
-                yield batch.filter(pa.array(stay, pa.bool_())).select(list(range(batch.num_columns - 1)))
+                kept = batch.filter(pa.array(stay, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(kept.columns[:-2], schema=pa.schema([f.with_name(n) for f, n in zip(kept.schema, schema.names)]))
 
-    return docs.withColumn(letters, has_letter(F.col("text"))).mapInArrow(keep, schema)
+    # Python functions take no column names with certain characters, so columns go by their number.
+    numbered = [c.alias(f"column_{i}") for i, c in enumerate(columns(docs))]
+    return docs.select(*numbered, F.col("text"), has_letter(F.col("text")).alias("letters")).mapInArrow(keep, schema)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

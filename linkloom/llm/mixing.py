@@ -24,15 +24,17 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import fresh, packed, table
+from linkloom.llm.common import columns, fresh, packed, table
 from linkloom.operators.positions import with_positions
 
-# Slots of each named source in a frame, and of all others together.
+# Slots of each source in a frame, and of rows without a source or of one not named here.
 WEIGHTS = {
     "src0": 10, "src1": 8, "src2": 8, "src3": 8, "src4": 8,
     "src5": 6, "src6": 6, "src7": 6, "src8": 6, "src9": 6,
+    "src10": 3, "src11": 3, "src12": 3, "src13": 3, "src14": 3,
+    "src15": 2, "src16": 2, "src17": 2, "src18": 2, "src19": 2,
 }
-REST = 28
+REST = 3
 BLOCK_ROWS = 16
 
 
@@ -89,7 +91,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     prefix = fresh(docs, "mix_")
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix = f"_{prefix}"
-    mixed = mix(docs, WEIGHTS, REST, prefix=prefix).select(*docs.columns, f"{prefix}slot", f"{prefix}place")
+    mixed = mix(docs, WEIGHTS, REST, prefix=prefix).select(*columns(docs), f"{prefix}slot", f"{prefix}place")
     return mixed.orderBy(f"{prefix}slot", f"{prefix}place")
 
 

@@ -1,6 +1,6 @@
 """Derived WARC records: from each response record a metadata record and a plain-text conversion record.
 
-Both name the response in ``WARC-Refers-To`` and each other in ``WARC-Concurrent-To``; their own identifiers follow from the
+Both name the response in ``WARC-Refers-To``, and the metadata the conversion in ``WARC-Concurrent-To``, which a conversion may not have; their own identifiers follow from the
 response's identifier and their type, so a task that runs again gives the same ones. The conversion
 keeps the target, the date and the payload digest of its source; the metadata
 record lists every header of the source unchanged, its digests, title, language and outlinks. Each record carries the
@@ -42,8 +42,10 @@ _MARKUP = re.compile(rf"<(?:(!--)|/?([A-Za-z][^\s/>]*){ATTRIBUTES}(?:>|\Z)|[!?/]
 _BREAKS = BLOCK_TAGS | {"br", "title"}
 _CLOSE = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style", "noscript", "template", "svg", "title")}
 _TITLE = re.compile(r"<title\b[^>]*>([^<]*)", re.IGNORECASE)
-_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.IGNORECASE)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*[\"']?([^\s\"'>]+)", re.IGNORECASE)
+# Tags of which attributes are read; each is gone through once, to its end.
+_TAG = re.compile(rf"<(html|a)(?=[\s/>])({ATTRIBUTES})>", re.IGNORECASE)
+_LANGUAGE = re.compile(r"\blang\s*+=\s*+[\"']?([A-Za-z0-9-]+)", re.IGNORECASE)
+_LINK = re.compile(r"\bhref\s*+=\s*+[\"']?([^\s\"'>]+)", re.IGNORECASE)
 
 
 def digest(block: bytes) -> str:
@@ -93,10 +95,16 @@ def derive(source: dict) -> Iterator[dict]:
     page = payload[: payload.rfind(">") + 1]
     fields = [("payload-digest", own), ("content-length", str(len(payload.encode())))]
     fields += [(f"source-{h['name']}", h["value"]) for h in source["headers"] or [] if h and h["name"] and h["value"] is not None]
-    for name, found in (("title", _TITLE.search(page)), ("language", _LANGUAGE.search(page))):
+    language, links = None, []
+    for tag in _TAG.finditer(page):
+        if tag[1] in "aA":
+            links += [found[1] for found in [_LINK.search(tag[2])] if found]
+        elif language is None:
+            language = _LANGUAGE.search(tag[2])
+    for name, found in (("title", _TITLE.search(page)), ("language", language)):
         if found:
             fields.append((name, " ".join(unescape(found[1]).split())))
-    fields += [("outlink", unescape(link)) for link in _LINK.findall(page)]
+    fields += [("outlink", unescape(link)) for link in links]
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{n}: {' '.join(v.split())}\r\n" for n, v in fields)),
         "conversion": ("text/plain; charset=utf-8", plain_text(payload)),
@@ -105,7 +113,9 @@ def derive(source: dict) -> Iterator[dict]:
         data = block.encode()
         other = ids["conversion" if kind == "metadata" else "metadata"]
         headers = [
-            ("WARC-Type", kind), ("WARC-Record-ID", ids[kind]), ("WARC-Refers-To", response), ("WARC-Concurrent-To", other),
+            ("WARC-Type", kind), ("WARC-Record-ID", ids[kind]), ("WARC-Refers-To", response),
+            # Not allowed on a conversion.
+            ("WARC-Concurrent-To", other if kind == "metadata" else None),
             ("WARC-Target-URI", source["target_uri"]), ("WARC-Date", source["date"]), ("WARC-Block-Digest", digest(data)),
             ("WARC-Source-Payload-Digest", own), ("Content-Type", content_type), ("Content-Length", str(len(data))),
         ]

@@ -11,7 +11,7 @@ KINDS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Names that operators use inside or for their results.
 CLASHING = (
     "kept", "keep", "row", "component_id", "node", "bands", "band", "size", "slot", "place", "block", "release", "deadline",
-    "mix_slot", "group", "_letters", "_row_value", "_again", "text_sha256", "found", "edits", "score", "_slot", "_part", "_slice", "_kept",
+    "mix_slot", "group", "_letters", "_row_value", "_again", "text_sha256", "found", "edits", "score", "_slot", "_part", "_slice", "_kept", "meta.origin", "a`b",
 )
 
 

@@ -5,6 +5,7 @@ from brute import edf
 from compare import checker, compare
 from conftest import DATA
 
+from linkloom.llm.common import columns
 from linkloom.llm import mixing as op
 from linkloom.llm.queries import ORACLES, QUERIES
 
@@ -43,11 +44,26 @@ def test_less_than_a_block_off_while_all_sources_last(spark, tmp_path):
         assert r["release"] <= r["slot"] < r["deadline"]
 
 
+def test_every_source_of_the_documents_keeps_its_weight(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "source")
+    assert {r["source"] for r in docs.select("source").distinct().collect()} <= {*op.WEIGHTS, None}
+    rows = sorted(op.mix(docs, op.WEIGHTS, op.REST).collect(), key=lambda r: (r["slot"], r["place"]))
+    total, blocks, ends = sum(op.WEIGHTS.values()) + op.REST, {}, {}
+    for r in rows:
+        ends[r["source"]] = max(ends.get(r["source"], 0), r["slot"])
+        blocks.setdefault(r["source"], set()).add(r["slot"])
+    for source, weight in op.WEIGHTS.items():
+        taken = sorted(blocks[source])
+        # Less than one block off, after each of its blocks and as long as it lasts.
+        assert all(abs(n - (slot + 1) * weight / total) < 1 for n, slot in enumerate(taken, 1)), source
+        assert all(abs(n - slot * weight / total) < 1 for n, slot in enumerate(taken)), source
+
+
 def test_awkward(spark, awkward, nothing):
     got = op.mixing_stage(spark, awkward, DATA)
     assert got.columns[: len(awkward.columns)] == awkward.columns and len(got.columns) == len(awkward.columns) + 2
-    assert sorted(map(str, got.select(*awkward.columns).collect())) == sorted(map(str, awkward.collect()))
-    places = [tuple(r) for r in got.select(*got.columns[-2:]).collect()]
+    assert sorted(map(str, got.select(*columns(awkward)).collect())) == sorted(map(str, awkward.collect()))
+    places = [tuple(r) for r in got.select(*columns(got)[-2:]).collect()]
     assert len(set(places)) == len(places) and places == sorted(places)
     assert op.mixing_stage(spark, nothing, DATA).count() == 0
 
