@@ -2,137 +2,34 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.functions.cells import cell_shard_name
-from linkloom.runtime import ship_package
-
-# Record layout (little endian) and shard file names.
-RECORD = np.dtype([("row", "<u4"), ("col", "<u4"), ("value", "<f4")])
-SHARD_FILE = r"data\.bin\.(\d+)-of-\d+$"
-
-# Records read by one task step.
-SLICE_RECORDS = 4 << 20
-
-_CELLS = "shard int, pos bigint, row bigint, col bigint, value float"
-
-
-# Schemes of stores that the tasks can open without the JVM, by the name they have there.
-SCHEMES = {"hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
-
+from linkloom.sources.cell_shards import FORMAT, RECORD, SLICE_RECORDS, open_path, qualified, register
 
-def open_path(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path for tasks that read or write bytes; other stores are refused with a reason."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    scheme, rest = path.split("://", 1)
-    if scheme not in SCHEMES:
-        raise ValueError(f"binary shards cannot be kept under {scheme}://, only under {', '.join(SCHEMES)} or files; use Parquet")
-    return fs.FileSystem.from_uri(f"{SCHEMES[scheme]}://{rest}")
+__all__ = ["RECORD", "open_path", "read_coo", "write_coo"]
 
 
 def read_coo(spark: SparkSession, folder: str, slice_records: int = SLICE_RECORDS) -> DataFrame:
     """``(shard, pos, row, col, value)``; ``pos`` is the record number within the shard file.
 
     Only the file lengths are listed up front; files are then read in slices, in any
-    number of tasks. A rest shorter than a record is ignored.
+    number of tasks. A rest shorter than a record is ignored. A folder with shards of several sets is refused.
     """
-    ship_package(spark)
-    check_scheme(folder)
-    width = RECORD.itemsize
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "data.bin.*-of-*")
-        .load(folder)
-        .select("path", F.regexp_extract("path", SHARD_FILE, 1).cast("int").alias("shard"), "length")
-    )
-    records = F.floor(F.col("length") / width)
-    slices = files.where(F.col("length") >= width).select(
-        "path",
-        "shard",
-        records.alias("records"),
-        F.explode(F.sequence(F.lit(0), records - 1, F.lit(slice_records))).alias("first"),
-    )
+    register(spark)
+    return spark.read.format(FORMAT).option("slice_records", str(slice_records)).load(qualified(spark, folder))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for item in batch.to_pylist():
-                filesystem, path = open_path(item["path"])
-                count = min(slice_records, item["records"] - item["first"])
-                with filesystem.open_input_file(path) as source:
-                    data = np.frombuffer(source.read_at(count * width, item["first"] * width), RECORD)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(count, item["shard"], np.int32)),
-                        pa.array(np.arange(item["first"], item["first"] + count)),
-                        pa.array(data["row"].astype(np.int64)),
-                        pa.array(data["col"].astype(np.int64)),
-                        pa.array(data["value"]),
-                    ],
-                    names=["shard", "pos", "row", "col", "value"],
-                )
 
-    # Without a spread, the slices of the few listed files would share a few tasks.
-    return slices.repartition(F.col("path"), F.col("first")).mapInArrow(read, _CELLS)
-
-
-def write_coo(cells: DataFrame, folder: str, shards: int) -> None:
+def write_coo(cells: DataFrame, folder: str, shards: int, overwrite: bool = False) -> None:
     """Shard files for a trainer that reads the binary form; ``cells`` has ``shard`` 0..shards-1.
 
     The format wants one file per shard, so each is written by one task, in batches
-    and in the order of row and column. A task writes under a name of its own attempt and
-    renames the file when it is whole; shards without cells get empty files.
+    and in the order of row and column. The set appears when all of it is written; shards without cells are empty files.
+    A folder that holds shards is refused, or its whole set replaced with ``overwrite``.
     """
-    ship_package(cells.sparkSession)
-    check_scheme(folder)
-    named = cells.withColumn("_file", cell_shard_name(F.col("shard").cast("int"), shards))
-    ordered = named.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "row", "col")
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, base = open_path(folder)
-        filesystem.create_dir(base)
-        attempt, done, sink = f".attempt-{uuid.uuid4().hex}", [], None
-        for batch in batches:
-            for file, part in batch.groupby("_file", sort=False):
-                if not done or file != done[-1]:
-                    if sink is not None:
-                        sink.close()
-                    done.append(file)
-                    sink = filesystem.open_output_stream(f"{base}/{attempt}-{file}")
-                if max(part["row"].max(), part["col"].max()) >= 1 << 32:
-                    raise ValueError("the binary form holds 32-bit rows and columns only; use Parquet")
-                data = np.empty(len(part), RECORD)
-                for column in RECORD.names:
-                    data[column] = part[column].to_numpy()
-                sink.write(data.tobytes())
-        if sink is not None:
-            sink.close()
-        for file in done:
-            filesystem.move(f"{base}/{attempt}-{file}", f"{base}/{file}")
-        yield pd.DataFrame({"name": pd.Series(done, dtype=object)})
-
-    names = ordered.select("_file", "row", "col", "value").mapInPandas(write, "name string")
-    present = {r["name"] for r in names.collect()}  # one per shard
-    filesystem, base = open_path(folder)
-    filesystem.create_dir(base)
-    for shard in range(shards):
-        name = f"data.bin.{shard:05d}-of-{shards:05d}"
-        if name not in present:
-            filesystem.open_output_stream(f"{base}/{name}").close()
-
-
-def check_scheme(folder: str) -> None:
-    """Fail on the driver, before any work, if the tasks could not open the folder."""
-    scheme = folder.split("://", 1)[0] if "://" in folder else "file"
-    if scheme not in (*SCHEMES, "file"):
-        open_path(folder)
+    spark = cells.sparkSession
+    register(spark)
+    named = cells.select(F.col("shard").cast("int").alias("shard"), "row", "col", "value")
+    ordered = named.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "row", "col")
+    mode = "overwrite" if overwrite else "append"
+    ordered.write.format(FORMAT).option("shards", str(shards)).mode(mode).save(qualified(spark, folder))

@@ -243,3 +243,50 @@ def test_write_cells(spark, tmp_path):
     write_cells(df, str(tmp_path / "p"))
     assert sorted(p.name for p in (tmp_path / "p").glob("shard=*")) == [f"shard={i}" for i in range(4)]
     assert spark.read.parquet(str(tmp_path / "p")).count() == 700
+
+
+def _shards(spark, folder, cells, shards, **options):
+    write_coo(stored(spark, cells, 100, shards), str(folder), shards, **options)
+
+
+def test_a_set_of_shards_is_replaced_as_a_whole(spark, tmp_path):
+    many, few = matrix(100, 100, 400, 1), matrix(100, 100, 90, 2)
+    _shards(spark, tmp_path, many, 64)
+    with pytest.raises(Exception, match="already holds shards"):
+        _shards(spark, tmp_path, few, 32)
+    assert set(coordinates(read_coo(spark, str(tmp_path)))) == many
+    _shards(spark, tmp_path, few, 32, overwrite=True)
+    rows = spark.read.format("cell_shards").option("slice_records", "7").load(str(tmp_path))
+    assert rows.schema.simpleString() == "struct<shard:int,pos:bigint,row:bigint,col:bigint,value:float>"
+    assert set(coordinates(rows)) == few and rows.select("shard", "pos").distinct().count() == 90
+    names = sorted(p.name for p in tmp_path.iterdir())
+    assert len(names) == 33 and "_shards.json" in names and "data.bin.00031-of-00032" in names
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    good = matrix(100, 100, 50)
+    bad = spark.createDataFrame([(0, 1, 1, 1.0), (1, 1 << 40, 2, 1.0)], "shard int, row long, col long, value float")
+    unsorted = spark.createDataFrame([(0, 1, 1, 1.0), (0, 2, 2, 1.0)], "shard int, row long, col long, value float").repartition(2, "row")
+    with pytest.raises(Exception, match="32 bits"):
+        write_coo(bad, str(tmp_path), 2)
+    with pytest.raises(Exception, match="several tasks"):
+        unsorted.repartitionByRange(2, "row").write.format("cell_shards").option("shards", "1").mode("append").save(str(tmp_path))
+    assert list(tmp_path.iterdir()) == [] and read_coo(spark, str(tmp_path)).count() == 0
+    _shards(spark, tmp_path, good, 4)
+    with pytest.raises(Exception, match="32 bits"):
+        write_coo(bad, str(tmp_path), 4, overwrite=True)
+    assert set(coordinates(read_coo(spark, str(tmp_path)))) == good
+
+
+def test_mixed_and_broken_sets_are_refused(spark, tmp_path):
+    _shards(spark, tmp_path, matrix(100, 100, 50), 4)
+    (tmp_path / "data.bin.00000-of-00002").write_bytes(b"")
+    with pytest.raises(Exception, match="several sets"):
+        read_coo(spark, str(tmp_path)).count()
+    (tmp_path / "data.bin.00000-of-00002").unlink()
+    (tmp_path / "data.bin.00000-of-00004").write_bytes(b"x" * 12)
+    with pytest.raises(Exception, match="not those that were written"):
+        read_coo(spark, str(tmp_path)).count()
+    (tmp_path / "_replacing").touch()
+    with pytest.raises(Exception, match="being replaced"):
+        read_coo(spark, str(tmp_path)).count()
