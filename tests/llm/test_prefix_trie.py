@@ -4,9 +4,12 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from compare import checker, compare
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from linkloom.llm import prefix_trie as p
+from linkloom.llm.queries import ORACLES, QUERIES
 
 KINDS = "conv_id bigint, turn bigint, role string, text string"
 
@@ -118,3 +121,8 @@ def test_split_in_task_on_shapes():
                 size[parent[v]] += size[v]
                 expected[parent[v]] += expected[v]
         assert p.split_in_task(parent, size, [value]) == [expected]
+
+
+def test_query_against_sql(spark):
+    count, _, _ = compare(spark, "op11_prefix_trie", QUERIES["op11_prefix_trie"], ORACLES["op11_prefix_trie"], DATA, checker(DATA))
+    assert count > 20  # all nodes of the smallest table; their values equal those of the SQL
