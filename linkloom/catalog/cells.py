@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.catalog.inputs import Inputs
 from linkloom.catalog.oracle import query, zeros
 from linkloom.catalog.registry import register
-from linkloom.functions.cells import row_block
-from linkloom.operators import batches, zeros as op
-from linkloom.runtime import new_path
+from linkloom.functions.cells import div, row_block
+from linkloom.operators import batch_index, batches, zeros as op
+from linkloom.runtime import new_path, written
 from linkloom.sources.coo import read_coo, write_coo
 
 BLOCKS = 4
@@ -155,3 +155,47 @@ def shuffle_chunks(t: Inputs) -> DataFrame:
 def drop_partial_batch(t: Inputs) -> DataFrame:
     batched = batches.batch_sequential(_sharded(t), BATCH)
     return batches.drop_partial_batch(batched, BATCH, t.positives.count()).select("row", "col", "batch_id")
+
+
+def _store(t: Inputs) -> str:
+    path = new_path(t.spark, "batch-store")
+    # Small row groups, so that a batch is a small part of even a small table.
+    batch_index.write_batch_store(batches.place_in_shards(_sharded(t)), path, group_bytes=1 << 14)
+    return path
+
+
+_STARTS = f"(select min(seq) // {BATCH} as batch_id from {_PLACED} group by shard)"
+
+
+@register(
+    "fetch_batches",
+    query(
+        f"""select shard, row, col, value, seq, seq // {BATCH} as batch_id from {_PLACED}
+            where seq // {BATCH} in (select batch_id from {_STARTS})""",
+        "positives",
+    ),
+)
+def fetch_batches(t: Inputs) -> DataFrame:
+    """The batches in which a shard begins, by the index of row groups."""
+    sizes = batches.shard_sizes(_sharded(t))
+    before = F.sum("size").over(Window.orderBy("shard")) - F.col("size")  # one row per shard
+    wanted = sizes.select(div(before, BATCH).alias("batch_id"))
+    fetched = batch_index.fetch_batches(t.spark, _store(t), wanted, BATCH)
+    return fetched.withColumn("shard", F.col("shard").cast("bigint"))
+
+
+@register(
+    "row_group_index",
+    query("select count(*) as cells, 0::BIGINT as first, count(*) - 1 as last, true as unbroken, true as several from positives", "positives"),
+)
+def row_group_index(t: Inputs) -> DataFrame:
+    """Whether the groups of the index follow one another without gap or overlap."""
+    groups = written(batch_index.row_groups(t.spark, f"{_store(t)}/cells"), "row-groups")
+    # One row per row group; each is held against the one that begins where it ends.
+    after = groups.select((F.col("first") - 1).alias("last"), F.lit(1).alias("next"))
+    follow = groups.join(after, "last", "left")
+    size = F.sum(F.col("last") - F.col("first") + 1)
+    return follow.agg(
+        size.alias("cells"), F.min("first").alias("first"), F.max("last").alias("last"),
+        (F.count(F.lit(1)) == F.count("next") + 1).alias("unbroken"), (F.count(F.lit(1)) > 1).alias("several"),
+    )

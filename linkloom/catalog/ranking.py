@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.catalog.inputs import Inputs
+from linkloom.catalog.inputs import Inputs, write_files
 from linkloom.catalog.oracle import INTERNAL, crc32, query
 from linkloom.catalog.registry import register
 from linkloom.functions.cells import cell_shard_name, count_shard_name, hash_shard
@@ -13,6 +13,7 @@ from linkloom.functions.text import parse_int
 from linkloom.operators import ranking as op
 from linkloom.operators.positions import number_lines
 from linkloom.plans.popularity import count_pages, rank_pages
+from linkloom.plans.popularity_state import ranking, update_ranking
 from linkloom.runtime import new_path, written
 from linkloom.sources import lines as source
 from linkloom.sources import sinks
@@ -189,3 +190,16 @@ def write_ranked(t: Inputs) -> DataFrame:
     path = new_path(t.spark, "ranked")
     sinks.write_ranked(written(count_pages(t.views), "counts"), path)
     return number_lines(source.read_lines(t.spark, path)).select("line_no", "value")
+
+
+@register("incremental_ranking", query("select page_title, count from counts", "counts"))
+def incremental_ranking(t: Inputs) -> DataFrame:
+    """The ranking by updates: every other hour first, then the whole days, then all once more."""
+    state, early = new_path(t.spark, "ranking-state"), new_path(t.spark, "early-logs")
+    name = F.format_string("pageviews-%d-%02d0000.gz", F.col("day") + 20190101, "hour")
+    lines = t.views.where("hour % 2 = 1").select(name.alias("name"), "part", "value", F.lit(False).alias("plain"))
+    write_files(lines, early)
+    # The early arrivals are other files of the same names, so the second update takes their counts away again.
+    for logs in (early, t.view_files(), t.view_files()):
+        update_ranking(t.spark, state, logs)
+    return ranking(t.spark, state)

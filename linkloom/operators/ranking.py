@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +52,8 @@ def first_project_run(lines: DataFrame, project: str = "en") -> DataFrame:
     )
 
 
-def decode_pageviews(lines: DataFrame, on_error: str = "fail") -> DataFrame:
-    """``(project, page_title, count, last)``; a line that cannot be decoded fails or is dropped."""
+def decode_pageviews(lines: DataFrame, on_error: str = "fail", keep: Sequence[str] = ()) -> DataFrame:
+    """``(project, page_title, count, last)`` and the columns to ``keep``; a line that cannot be decoded fails or is dropped."""
     line = F.col("value")
     good = is_decodable(line)
     if on_error == "drop":
@@ -66,6 +68,7 @@ def decode_pageviews(lines: DataFrame, on_error: str = "fail") -> DataFrame:
         title_of(line).alias("page_title"),
         count.alias("count"),
         parse_int(last_field(line)).alias("last"),
+        *keep,
     )
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.functions.cells import block_size, hash_shard, row_block
-from linkloom.operators import batches, zeros
+from linkloom.operators import batch_index, batches, zeros
 from linkloom.operators.links import Shape
 from linkloom.runtime import written
 from linkloom.sources.coo import read_coo, write_coo
@@ -290,3 +290,48 @@ def test_mixed_and_broken_sets_are_refused(spark, tmp_path):
     (tmp_path / "_replacing").touch()
     with pytest.raises(Exception, match="being replaced"):
         read_coo(spark, str(tmp_path)).count()
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    cells = matrix(100, 100, 3000)
+    placed = written(batches.place_in_shards(stored(spark, cells, 100, 4)), "placed")
+    path = str(tmp_path_factory.mktemp("batches") / "store")
+    batch_index.write_batch_store(placed, path, group_bytes=4096)
+    return path, placed
+
+
+@pytest.mark.parametrize("size, wanted", [(64, [0, 7, 46, 47, 99]), (64, [7, 7, None]), (1000, [2]), (1, [0, 1500, 2999]), (10_000, [0]), (64, [])])
+def test_batches_by_index(spark, store, size, wanted):
+    path, placed = store
+    asked = spark.createDataFrame([(w,) for w in wanted], "batch_id long")
+    got = batch_index.fetch_batches(spark, path, asked, size).select("shard", "row", "col", "value", "seq", "batch_id").collect()
+    chosen = batches.with_batches(placed, size).where(F.col("batch_id").isin([w for w in wanted if w is not None] or [-1]))
+    want = chosen.select("shard", "row", "col", "value", "seq", "batch_id").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    # No row group is read but those that hold a position asked for.
+    groups = {(r["file"], r["row_group"]) for r in batch_index.covering_groups(spark, path, asked, size).collect()}
+    index = spark.read.parquet(f"{path}/index").collect()
+    places = [r["seq"] for r in want]
+    assert groups == {(r["file"], r["row_group"]) for r in index if any(r["first"] <= p <= r["last"] for p in places)}
+    assert len(index) > 8
+
+
+def test_index_covers_all_positions_once(spark, store):
+    path, _ = store
+    index = sorted((r["first"], r["last"]) for r in spark.read.parquet(f"{path}/index").collect())
+    assert index[0][0] == 0 and index[-1][1] == 2999
+    assert all(a[1] + 1 == b[0] for a, b in zip(index, index[1:]))
+
+
+def test_store_is_not_written_over(spark, store):
+    path, placed = store
+    with pytest.raises(Exception, match="exist"):
+        batch_index.write_batch_store(placed, path)
+
+
+def test_store_without_cells(spark, tmp_path):
+    empty = spark.createDataFrame([], "shard int, row long, col long, value float, seq long")
+    batch_index.write_batch_store(empty, str(tmp_path / "none"))
+    asked = spark.createDataFrame([(0,)], "batch_id long")
+    assert batch_index.fetch_batches(spark, str(tmp_path / "none"), asked, 4).collect() == []

@@ -1,10 +1,12 @@
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkloom.operators import ranking as op
 from linkloom.operators.positions import number_lines
+from linkloom.plans.popularity_state import counted_files, ranking, totals, update_ranking, versions
 from linkloom.plans.popularity import count_pages, rank_pages
 from linkloom.sources import lines as source
 from linkloom.sources import sinks
@@ -70,6 +72,39 @@ def test_ranking_from_hourly_logs(spark, tmp_path):
     assert pairs(rank_pages(lines, project="en.m")) == [("Albert_Einstein", 70)]
 
 
+def test_ranking_kept_up_to_date(spark, tmp_path):
+    """Files one by one, late, repeated, changed, gone, and an update that broke off."""
+    state, folder = str(tmp_path / "state"), tmp_path / "logs"
+    folder.mkdir()
+    names = sorted(n for n in HOURS if n.startswith("pageviews"))
+    for n, name in enumerate(reversed(names)):  # the latest hour first
+        logs(folder, {name: HOURS[name]})
+        added = update_ranking(spark, state, str(folder)).collect()
+        assert [r["name"] for r in added] == [name] and versions(spark, state) == list(range(n + 1))
+    assert pairs(ranking(spark, state)) == RANKING and pairs(ranking(spark, state, 2)) == RANKING[:2]
+    assert update_ranking(spark, state, str(folder)).collect() == [] and len(versions(spark, state)) == len(names)
+    # A file that is put there again with another text counts in its new form only.
+    other = {**HOURS, names[0]: ["en Only_here 5 1", "en Albert_Einstein 2 1"]}
+    logs(folder, {names[0]: other[names[0]]})
+    assert [r["name"] for r in update_ranking(spark, state, str(folder)).collect()] == [names[0]]
+    again = tmp_path / "again"
+    again.mkdir()
+    assert pairs(ranking(spark, state)) == pairs(rank_pages(source.scan_pageviews(spark, logs(again, other))))
+    before = pairs(ranking(spark, state))
+    # An update that broke off before its files were named does not count, and is done again.
+    os.remove(f"{state}/files/version={versions(spark, state)[-1]}/_SUCCESS")
+    assert pairs(ranking(spark, state)) == RANKING
+    assert [r["name"] for r in update_ranking(spark, state, str(folder)).collect()] == [names[0]]
+    assert pairs(ranking(spark, state)) == before
+    # Files that have left the folder stay counted.
+    os.remove(folder / names[-1])
+    assert update_ranking(spark, state, str(folder)).collect() == [] and pairs(ranking(spark, state)) == before
+
+
+def test_ranking_of_nothing(spark, tmp_path):
+    assert totals(spark, str(tmp_path / "none")).collect() == [] == counted_files(spark, str(tmp_path / "none")).collect()
+
+
 def test_ranking_through_shard_files(spark, tmp_path):
     logs(tmp_path, HOURS)
     counts = count_pages(source.scan_pageviews(spark, str(tmp_path)))
