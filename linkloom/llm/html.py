@@ -22,6 +22,11 @@ BOILERPLATE_WORDS = frozenset(
     "promoted promotion recommended related replies reply respond share sharing sidebar signin signup social sponsor sponsored subscribe "
     "subscription toolbar widget".split()
 )
+# What a compound class name that begins with one of those words must end with, and what takes its meaning away.
+CONTAINER_WORDS = frozenset(
+    "area articles bar block body box buttons container content icons inner item items links list panel posts section slot stories thread unit wrap wrapper".split()
+)
+STATE_WORDS = frozenset("closed disabled enabled has hide is no not off on open show with without".split())
 HEADER_WORDS = frozenset(("header", "masthead", "topbar"))
 ARTICLE_WORDS = frozenset(("articlebody", "mainentityofpage"))
 # What may stand in a head; anything else ends it.
@@ -45,7 +50,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Block(NamedTuple):
-    """``kind`` is ``article``, ``main``, ``plain`` or ``boilerplate``."""
+    """``kind`` is ``article``, ``main``, ``plain``, ``boilerplate``, or ``inner`` for an article or main element in what would be boilerplate by a compound name."""
 
     kind: str
     text: str
@@ -61,24 +66,54 @@ def _attributes(tag: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in _ATTRIBUTE.finditer(tag)}
 
 
+def _names(attributes: dict[str, str], wanted: frozenset[str]) -> tuple[bool, bool]:
+    """Whether a class name or id is one of the ``wanted`` words, and whether it is made of one.
+
+    A compound is about its last word ("site-footer") or about a container of its first ("comment-list"); one that
+    states something ("no-sidebar", "comments-open") or goes on otherwise ("related-work") says nothing.
+    """
+    whole = made = False
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = _WORD.findall(name)
+        if len(words) == 1 and words[0] in wanted:
+            whole = True
+        elif len(words) > 1 and STATE_WORDS.isdisjoint(words):
+            made = made or words[-1] in wanted or (words[0] in wanted and words[-1] in CONTAINER_WORDS)
+    return whole, made
+
+
 def _role(name: str, tag: str, in_article: bool) -> str | None:
-    """What an element makes of its content, if it makes anything of it."""
+    """What an element makes of its content, if it makes anything of it; ``weak`` and ``form`` are boilerplate that may hold an article."""
     attributes = _attributes(tag) if tag.strip() else {}
     role = attributes.get("role", "").lower()
-    words = set(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    if name in BOILERPLATE_TAGS or role in BOILERPLATE_ROLES or (name not in ("html", "body") and words & BOILERPLATE_WORDS):
+    whole, made = _names(attributes, BOILERPLATE_WORDS) if name not in ("html", "body") else (False, False)
+    # A form may be around the whole page.
+    if (name in BOILERPLATE_TAGS and name != "form") or role in BOILERPLATE_ROLES or whole:
         return "boilerplate"
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(attributes.get("style", "").lower()):
         return "boilerplate"
-    if name == "header" or words & HEADER_WORDS:
-        return None if in_article else "boilerplate"
     if name == "article" or role == "article" or attributes.get("itemprop", "").lower() in ARTICLE_WORDS:
         return "article"
     if name == "main" or role == "main":
         return "main"
+    if name == "form" or made:
+        return "form" if name == "form" and not made else "weak"
+    if name == "header" or any(_names(attributes, HEADER_WORDS)):
+        return None if in_article else "boilerplate"
     return None
 
 
+def _inside(kind: str, role: str | None) -> str:
+    """The kind of the content of an element with a role, in content of a kind."""
+    if role in ("article", "main"):
+        if kind in ("weak", "inner"):
+            return "inner"
+        return "article" if kind == "article" else role
+    if role == "form" and kind == "weak":
+        return kind
+    return role or kind
+
+
 class _Open:
     """Open elements with the kind of block inside each; all steps take constant time per element."""
 
@@ -148,7 +183,7 @@ def blocks_of(html: str) -> Iterator[Block]:
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            yield Block(kind, text)
+            yield Block("boilerplate" if kind in ("weak", "form") else kind, text)
 
     while pos < len(html):
         at = html.find("<", pos)
@@ -212,8 +247,8 @@ def blocks_of(html: str) -> Iterator[Block]:
             if open_.kind != kind:
                 yield from flush()
                 kind = open_.kind
-            role = "boilerplate" if kind == "boilerplate" else _role(name, html[found.end() : end], kind == "article")
-            inner = role if role and not (kind == "article" and role == "main") else kind
+            role = None if kind == "boilerplate" else _role(name, html[found.end() : end], kind in ("article", "main", "inner"))
+            inner = _inside(kind, role)
             if inner != kind:
                 yield from flush()
             open_.push(name, inner)

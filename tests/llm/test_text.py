@@ -106,6 +106,36 @@ def test_long_payloads_are_derived_in_linear_time(broken):
     assert time.perf_counter() - began < 15 and [r["warc_type"] for r in records] == ["metadata", "conversion"]
 
 
+@pytest.mark.parametrize(
+    "begin, end",
+    [
+        ('<div class="page-with-sidebar"><article>', "</article></div>"), ('<div class="no-sidebar"><main>', "</main></div>"),
+        ('<article class="post comments-open">', "</article>"), ('<section id="related-work"><article>', "</article></section>"),
+        ('<form id="page-form"><div><article>', "</article></div></form>"), ('<div class="has-menu"><div class="left-sidebar"><main>', "</main></div></div>"),
+        ('<main class="site-header"><div class="post-header">', "</div></main>"),
+    ],
+)
+def test_names_of_elements_around_an_article_do_not_remove_it(begin, end):
+    body = '<p>One</p><section class="related-work"><p>Two</p></section><div class="comment-list"><p>no</p></div><form><p>no</p></form>'
+    page = f'<nav>no</nav><body class="no-nav">{begin}{body}{end}<div class="site-footer">no</div>'
+    assert extraction.decided_blocks(page) == (True, ["One", "Two"])
+
+
+def test_articles_in_elements_with_compound_names():
+    teaser = '<div class="related-posts"><article>Teaser</article></div>'
+    # Beside another article it is a teaser; alone, or among its like, it is what the page has.
+    assert extraction.decided_blocks(f"{teaser}<form><article>Text</article></form>{teaser}") == (True, ["Text"])
+    assert extraction.decided_blocks(f'{teaser}<div class="left-sidebar"><main>Text</main></div>') == (True, ["Teaser", "Text"])
+    assert extraction.decided_blocks(f'<div class="page-wrap"><form>{teaser}</form></div>') == (True, ["Teaser"])
+
+
+def test_title_and_lead_beside_the_article():
+    page = "<main><h1>Title</h1><p>Lead</p><article><p>Text</p></article><aside>no</aside></main><p>no</p>"
+    assert extraction.decided_blocks(page) == (True, ["Title", "Lead", "Text"])
+    assert extraction.decided_blocks("<main><p>All of it</p><article>Teaser</article></main>") == (True, ["All of it", "Teaser"])
+    assert extraction.decided_blocks('<div class="comments"><article>no</article></div><p>yes</p>') == (False, ["yes"])
+
+
 def test_extraction_query(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
     got = QUERIES["op6_extraction"](spark, DATA).collect()
