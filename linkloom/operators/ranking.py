@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from linkloom.functions.views import count_field, is_decodable, last_field, proj
 from linkloom.functions.text import is_internal, parse_int
 from linkloom.operators.lookup import lookup_join
 from linkloom.operators.positions import in_file_order, with_positions
-from linkloom.runtime import written
+from linkloom.runtime import ship_package, written
 
 # Above this many rows a top-n is cut by position; below, each task sends its own top n to one task.
 SMALL_TOP = 1_000
@@ -35,21 +38,80 @@ def filter_project(lines: DataFrame, project: str = "en") -> DataFrame:
 def first_project_run(lines: DataFrame, project: str = "en") -> DataFrame:
     """Per file, only the first unbroken run of lines of the project.
 
-    On files sorted by project this equals :func:`filter_project`, which costs one
-    scan; this one needs three: where the run begins, where it ends, and its lines.
-    The first two move one row per file and task.
+    On files sorted by project this equals :func:`filter_project`. Lines are read once: each split of a file
+    keeps its own first run and says whether that run begins and ends with the split. Of these few rows, one per split and
+    project run, the ones that make up the file's first run are found.
     """
-    place = F.struct("block", "slot")
-    mine = lines.where(_in_project(project))
-    begin = written(mine.groupBy("file").agg(F.min(place).alias("_begin")), "run-begins")
-    others = lookup_join(lines.where(~_in_project(project)), begin, ["file"], spread_by=["slot"])
-    others = others.where(place > F.col("_begin"))
-    end = written(others.groupBy("file").agg(F.min(place).alias("_end")), "run-ends")
-    return (
-        lookup_join(mine, end, ["file"], "left", spread_by=["slot"])
-        .where(F.col("_end").isNull() | (place < F.col("_end")))
-        .drop("_end")
+    ship_package(lines.sparkSession)
+    kept = lines.select(F.col("value").cast("binary").alias("value"), "file", "block", "slot")
+    runs = written(kept.mapInArrow(split_runs(project), _RUNS), "project-runs")
+    # One row per split with lines.
+    splits = runs.groupBy("file", "block").agg(
+        F.bool_or("mine").alias("some"), F.bool_or(F.col("mine") & F.col("first")).alias("at_begin"),
+        (~F.bool_or(~F.col("mine") & ~F.col("first"))).alias("to_end")
     )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.coalesce(F.bool_or("some").over(before), F.lit(False))
+    # The run of a split goes on in the next one if it reaches the end there and the next begins with the project.
+    last = F.lag("to_end").over(Window.partitionBy("file").orderBy("block"))
+    joins = splits.withColumn("begun", begun).withColumn("linked", F.col("at_begin") & F.coalesce(last, F.lit(False)))
+    upto = Window.partitionBy("file").orderBy("block")
+    whole = F.bool_and(~F.col("begun") | F.col("linked")).over(upto)
+    chosen = joins.withColumn("whole", whole).where("some and whole").select("file", "block")
+    mine = runs.where("mine").select(F.col("value").cast("string").alias("value"), "file", "block", "slot")
+    return lookup_join(mine, written(chosen, "chosen-splits"), ["file", "block"], "left_semi", spread_by=["slot"])
+
+
+_RUNS = "value binary, file string, block bigint, slot bigint, mine boolean, first boolean"
+
+
+def split_runs(project: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first run of each split, and rows that are not ``mine``: for a run that ended, and, as ``first``, for lines before any.
+
+    Lines come as :func:`linkloom.sources.lines.read_lines` gives them, those of a split one after the other in one task. Of
+    the run, ``first`` is the line that begins the split.
+    """
+    begin = f"{project} ".encode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, begun, ended, told = None, False, False, False
+        for batch in batches:
+            mine = pc.starts_with(batch.column("value"), pattern=begin).to_numpy(zero_copy_only=False)
+            place = pa.array(batch.column("file")).dictionary_encode().indices.to_numpy(), batch.column("block").to_numpy()
+            cuts = np.flatnonzero((place[0][1:] != place[0][:-1]) | (place[1][1:] != place[1][:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(mine)]):
+                if a == b:
+                    continue
+                here = (batch.column("file")[int(a)].as_py(), batch.column("block")[int(a)].as_py())
+                fresh = here != split
+                if fresh:
+                    split, begun, ended, told = here, False, False, False
+                if ended:
+                    continue
+                own = mine[a:b]
+                low = 0 if begun else int(np.argmax(own)) if own.any() else len(own)
+                rest = own[low:]
+                high = low + (int(np.argmin(rest)) if not rest.all() else len(rest))
+                first = np.zeros(high - low, dtype=bool)
+                if fresh and low == 0 and high > low:
+                    first[0] = True
+                if high > low:
+                    yield _run_rows(batch.slice(int(a) + low, high - low), True, first)
+                    begun = True
+                ended = begun and high < len(own)
+                if ended:
+                    yield _run_rows(batch.slice(int(a) + high, 1), False, np.zeros(1, dtype=bool))
+                elif not begun and not told:
+                    # A split without the project so far is still one that parts its neighbours.
+                    yield _run_rows(batch.slice(int(a), 1), False, np.ones(1, dtype=bool))
+                    told = True
+
+    return run
+
+
+def _run_rows(rows: pa.RecordBatch, mine: bool, first: np.ndarray) -> pa.RecordBatch:
+    flags = [pa.array(np.full(len(first), mine)), pa.array(first)]
+    return pa.RecordBatch.from_arrays([*(rows.column(n) for n in ("value", "file", "block", "slot")), *flags], ["value", "file", "block", "slot", "mine", "first"])
 
 
 def decode_pageviews(lines: DataFrame, on_error: str = "fail", keep: Sequence[str] = ()) -> DataFrame:

@@ -1,5 +1,7 @@
 import gzip
+import itertools
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,6 +181,30 @@ def test_first_run_only(spark, tmp_path):
     assert kept == {"en a 1 0", "en b 1 0", "en d 1 0", "en e 1 0"}
 
 
+def test_first_run_over_splits(spark, tmp_path):
+    """Runs that begin, end or break at any split and batch, against a walk over the lines."""
+    rng, want = random.Random(5), []
+    for n in range(30):
+        sizes = [rng.choice((0, 1, 3, 20, 60)) for _ in range(5)]
+        # Every second stretch is of the project; stretches may be empty.
+        lines = [f"{'en' if i % 2 else 'de'} t{n}_{i}_{j} 1 0" for i, size in enumerate(sizes) for j in range(size)]
+        (tmp_path / f"log-{n}").write_text("".join(f"{line}\n" for line in lines))
+        run = itertools.takewhile(lambda v: v.startswith("en "), itertools.dropwhile(lambda v: not v.startswith("en "), lines))
+        want += run
+    settings = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "40", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        lines = source.read_lines(spark, str(tmp_path))
+        assert lines.select("file", "block").distinct().count() > 60
+        got = [r["value"] for r in op.first_project_run(lines, "en").collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted(got) == sorted(want)
+
+
 def test_large_top_is_cut_by_position(spark, monkeypatch):
     counts = spark.range(300).select(F.concat(F.lit("p"), "id").alias("page_title"), (F.col("id") % 7).alias("count"))
     for n in (1, 43, 100, 300, 1000):
