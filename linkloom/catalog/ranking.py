@@ -12,7 +12,8 @@ from linkloom.functions.cells import cell_shard_name, count_shard_name, hash_sha
 from linkloom.functions.text import parse_int
 from linkloom.operators import ranking as op
 from linkloom.operators.positions import number_lines
-from linkloom.plans.popularity import count_pages, rank_pages
+from linkloom.operators.pruning import candidates, summarise
+from linkloom.plans.popularity import count_pages, most_viewed, page_views, rank_pages
 from linkloom.plans.popularity_state import ranking, update_ranking
 from linkloom.runtime import new_path, written
 from linkloom.sources import lines as source
@@ -20,6 +21,9 @@ from linkloom.sources import sinks
 
 SHARDS = 8
 TOP = 100
+# Few titles kept by each task, so that most are forgotten.
+FEW, COUNTERS = 3, 200
+_LEAST = f"select min(count) as least from (select count from counts order by count desc limit {FEW})"
 
 
 @register("scan_pageviews", query("select value from views", "views"))
@@ -147,6 +151,29 @@ def top_n_pages(t: Inputs) -> DataFrame:
     return op.top_n_pages(count_pages(t.views), TOP)
 
 
+@register("top_n_pruned", query(f"select page_title, count from counts order by count desc, page_title limit {TOP}", "counts"))
+def top_n_pruned(t: Inputs) -> DataFrame:
+    return most_viewed(t.views, TOP)
+
+
+@register("view_bounds", query(f"select page_title, count, true as bounded, count >= least as kept from counts, ({_LEAST})", "counts"))
+def view_bounds(t: Inputs) -> DataFrame:
+    """Of every title, whether its count lies within the bounds, and whether it is kept if it is among the first."""
+    summary = summarise(page_views(t.views), COUNTERS)
+    titles = candidates(summary, FEW).titles
+    counts = written(count_pages(t.views), "counts")
+    least = op.top_n_pages(counts, FEW).agg(F.min("count")).first()[0]
+    rows = counts.join(summary.bounds, "page_title", "left")
+    if titles is not None:
+        rows = rows.join(titles.withColumn("chosen", F.lit(True)), "page_title", "left")
+    chosen = F.lit(True) if titles is None else F.coalesce("chosen", F.lit(False))
+    upper = F.coalesce("excess", F.lit(0)) + F.lit(summary.floor)
+    return rows.select(
+        "page_title", "count", F.col("count").between(F.coalesce("lower", F.lit(0)), upper).alias("bounded"),
+        (chosen & (F.col("count") >= F.lit(least))).alias("kept"),
+    )
+
+
 @register("ranking_job", query("select page_title, count from counts", "counts"))
 def ranking_job(t: Inputs) -> DataFrame:
     return rank_pages(source.scan_pageviews(t.spark, t.view_files()))
