@@ -10,6 +10,7 @@ from linkloom.catalog.oracle import query
 from linkloom.catalog.registry import register
 from linkloom.functions.cells import category_col, inlink_col, outlink_col, row_block
 from linkloom.operators import links as op
+from linkloom.operators.dictionary import compact_dictionary, decoded
 from linkloom.operators.positions import dense_ids, number_lines
 from linkloom.plans.entity_vectors import make_dictionaries
 from linkloom.runtime import new_path, written
@@ -124,6 +125,22 @@ def in_dictionary(t: Inputs) -> DataFrame:
     return op.in_dictionary(t.page, t.dictionaries.pages)
 
 
+@register("compact_dictionary", query("select id, name from pages_dict", "pages_dict"))
+def compact_dictionary_query(t: Inputs) -> DataFrame:
+    """The names and ids that come back from the encoded dictionary."""
+    return decoded(compact_dictionary(op.name_ids(t.dictionaries.pages)))
+
+
+@register(
+    "lookup_id_compact",
+    query("select pl_from, pl_title, coalesce(id, -1) as id from pagelinks left join pages_dict on name = pl_title", "pagelinks", "pages_dict"),
+)
+def lookup_id_compact(t: Inputs) -> DataFrame:
+    """Targets of all links by a dictionary that is taken as too large to be broadcast as a table."""
+    links = t.pagelinks.select("pl_from", F.col("pl_title").alias("name"))
+    return op.lookup_id(links, t.dictionaries.pages, broadcast_bytes=0).withColumnRenamed("name", "pl_title")
+
+
 @register(
     "lookup_title",
     query("select pl_from, page_title as from_title, pl_title from pagelinks join page on page_id = pl_from", "pagelinks"),

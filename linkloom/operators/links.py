@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.cells import category_col, inlink_col, outlink_col
-from linkloom.operators.lookup import lookup_join
+from linkloom.operators.dictionary import with_ids
+from linkloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from linkloom.operators.positions import dense_ids
 from linkloom.runtime import written
 
@@ -91,18 +92,17 @@ def name_ids(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("name").agg(F.max("id").alias("id"))
 
 
-def lookup_id(names: DataFrame, dictionary: DataFrame) -> DataFrame:
+def lookup_id(names: DataFrame, dictionary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``id`` to a column ``name``: its id in the dictionary, -1 if unknown."""
     ids = written(name_ids(dictionary), "name-ids")
-    found = lookup_join(with_link_row(names), ids, ["name"], "left", spread_by=["_row"])
-    return found.withColumn("id", F.coalesce("id", F.lit(-1))).drop("_row")
+    return with_ids(with_link_row(names), ids, "name", ["_row"], broadcast_bytes).drop("_row")
 
 
-def in_dictionary(page: DataFrame, dictionary: DataFrame) -> DataFrame:
+def in_dictionary(page: DataFrame, dictionary: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(page_id, page_title, id)``: pages whose title is in the dictionary."""
-    ids = written(name_ids(dictionary).withColumnRenamed("name", "page_title"), "title-ids")
-    found = lookup_join(page.select("page_id", "page_title"), ids, ["page_title"], spread_by=["page_id"])
-    return found.select("page_id", "page_title", "id")
+    ids = written(name_ids(dictionary), "title-ids")
+    found = with_ids(page.select("page_id", "page_title"), ids, "page_title", ["page_id"], broadcast_bytes)
+    return found.where("id >= 0").select("page_id", "page_title", "id")
 
 
 def lookup_title(pagelinks: DataFrame, page: DataFrame) -> DataFrame:
