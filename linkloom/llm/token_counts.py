@@ -9,9 +9,12 @@ after it, leaving a few characters on both sides which the cuts depend on: these
 changes. Only the sums above changed leaves are written again; a region that has grown or
 shrunk much is cut into new leaves.
 
+:func:`segment_trees` makes the trees of documents as a table that can be written; :func:`edit_trees` takes such a table with edits and
+gives one of the same form, for which only the edited regions are encoded. So a second round of edits costs what it touches.
+
 Defined results: a null or empty text has no tokens and can be edited at 0. Edits are in the characters
 of the text before any of them, do not overlap, and are applied from the last to the first; null replacement counts as
-empty; an edit outside the text is an error. Repeated rows are counted each by itself. A text without
+empty; an edit outside the text is an error, and so is a tree stored for a text of another length. Repeated rows are counted each by itself. A text without
 such places is one leaf. An empty table gives an empty result; other columns are ignored.
 """
 
@@ -67,6 +70,16 @@ class TokenTree:
         lengths = self._cut(0, len(text))
         self._plant(lengths, self._count(0, lengths))
 
+    @classmethod
+    def stored(cls, text: str, lengths: list[int], sums: np.ndarray, counter: Counter) -> TokenTree:
+        """The tree of ``text`` from its leaf lengths and sums; nothing is encoded."""
+        if sum(lengths) != len(text):
+            raise ValueError(f"tree of {sum(lengths)} characters for a text of {len(text)}")
+        tree = cls.__new__(cls)
+        tree.text, tree.counter, tree.encoded = text, counter, 0
+        tree.lengths, tree.sums, tree.width = lengths, sums, len(sums) // 2
+        return tree
+
     def _cut(self, begin: int, end: int, size: int = LEAF_CHARS) -> list[int]:
         """Lengths of the leaves of the characters ``begin`` to ``end``."""
         lengths, at = [], begin
@@ -91,7 +104,8 @@ class TokenTree:
         while len(level) > 1:
             level = level.reshape(-1, 2).sum(axis=1)
             levels.append(level)
-        self.sums = np.concatenate([[0], *levels[::-1]])  # the root at 1, the children of i at 2i and 2i + 1
+        # The root at 1, the children of i at 2i and 2i + 1.
+        self.sums = np.concatenate([np.zeros(1, np.int64), *levels[::-1]])
 
     @property
     def tokens(self) -> int:
@@ -159,11 +173,25 @@ def mask_edits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def edited_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """``doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_edited, n_chars_reencoded`` of ``docs(doc_id, text, edits)``.
+EDITS = "array<struct<start: bigint, end: bigint, replacement: string>>"
+_TREE = "doc_id bigint, text string, lengths array<int>, sums array<bigint>"
+
+
+def _lists(arrays: list, kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *(len(a) for a in arrays)], dtype=np.int32)
+    values = np.concatenate([np.zeros(0, np.int64), *arrays]).astype(kind.to_pandas_dtype())
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
+
+
+def _tree_columns(ids: pa.Array, trees: list[TokenTree]) -> list[pa.Array]:
+    return [ids, pa.array([t.text for t in trees], pa.string()), _lists([t.lengths for t in trees], pa.int32()), _lists([t.sums for t in trees], pa.int64())]
 
-    ``edits`` is an array of (start, end, replacement), or null where :func:`mask_edits` is to give them.
-    The vocabulary is read by the driver and sent to the tasks once.
+
+def segment_trees(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """``doc_id, text, lengths, sums``, and ``edits`` where ``docs(doc_id, text)`` has it: the segment tree of each document.
+
+    ``lengths`` are the characters of the leaves; ``sums`` has the tokens of the text at 1, those of the halves of the subtree ``i`` at
+    ``2i`` and ``2i + 1``, and those of the leaves in its second half. The vocabulary is read by the driver and sent to the tasks once.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -173,24 +201,61 @@ def edited_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         counter = _counter(sent.value)
         for whole in batches:
             for batch in batches_by_bytes(whole, "text"):
-                rows = []
-                for text, edits in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist(), strict=True):
-                    tree = TokenTree(text or "", counter)
-                    before = tree.tokens
-                    wanted = mask_edits(tree.text) if edits is None else [(e["start"], e["end"], e["replacement"] or "") for e in edits]
-                    for start, end, new in sorted(wanted, reverse=True):
-                        tree.edit(start, end, new)
-                    rows.append((before, len(wanted), tree.tokens, len(tree.text), tree.encoded))
-                columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]
-                names = ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_chars_reencoded"]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
-
-    kinds = "doc_id bigint, n_tokens bigint, n_edits bigint, n_tokens_edited bigint, n_chars_edited bigint, n_chars_reencoded bigint"
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "edits")
-    return rows.mapInArrow(run, kinds)
+                trees = [TokenTree(text or "", counter) for text in batch.column("text").to_pylist()]
+                more = [batch.column(i) for i in range(2, len(batch.schema))]
+                yield pa.RecordBatch.from_arrays([*_tree_columns(batch.column("doc_id"), trees), *more], [*_NAMES, *batch.schema.names[2:]])
+
+    more = ["edits"] if "edits" in docs.columns else []
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *(F.col(c).cast(EDITS).alias(c) for c in more))
+    return rows.mapInArrow(run, ", ".join([_TREE, *(f"{c} {EDITS}" for c in more)]))
+
+
+_NAMES = ["doc_id", "text", "lengths", "sums"]
+_FIGURES = ["n_tokens", "n_edits", "n_tokens_edited", "n_chars_edited", "n_chars_reencoded"]
+
+
+def edit_trees(trees: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """The trees of the edited texts, from ``trees(doc_id, text, lengths, sums, edits)``, and what changed.
+
+    Columns: ``doc_id, text, lengths, sums, n_tokens, n_edits, n_tokens_edited, n_chars_edited, n_chars_reencoded``. ``edits`` is an array of
+    (start, end, replacement), or null where :func:`mask_edits` is to give them. Only the regions that edits touch are encoded.
+    """
+    spark = trees.sparkSession
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(read_ranks(tokenizer))  # as large as the vocabulary
+
+    def edited(row: int, text: str, edits: list[dict] | None, lengths: pa.ListArray, sums: pa.ListArray, counter: Counter) -> tuple:
+        own = sums[row].values.to_numpy(zero_copy_only=False).astype(np.int64)
+        tree = TokenTree.stored(text, lengths[row].values.to_pylist(), own, counter)
+        before = tree.tokens
+        wanted = mask_edits(text) if edits is None else [(e["start"], e["end"], e["replacement"] or "") for e in edits]
+        for start, end, new in sorted(wanted, reverse=True):
+            tree.edit(start, end, new)
+        return tree, (before, len(wanted), tree.tokens, len(tree.text), tree.encoded)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(sent.value)
+        for whole in batches:
+            for batch in batches_by_bytes(whole, "text"):
+                texts, edits = batch.column("text").to_pylist(), batch.column("edits").to_pylist()
+                kept = batch.column("lengths"), batch.column("sums")
+                done = [edited(i, text, wanted, *kept, counter) for i, (text, wanted) in enumerate(zip(texts, edits, strict=True))]
+                figures = [pa.array([figure[i] for _, figure in done], pa.int64()) for i in range(len(_FIGURES))]
+                columns = [*_tree_columns(batch.column("doc_id"), [tree for tree, _ in done]), *figures]
+                yield pa.RecordBatch.from_arrays(columns, [*_NAMES, *_FIGURES])
+
+    rows = trees.select(*_NAMES, F.col("edits").cast(EDITS).alias("edits"))
+    return rows.mapInArrow(run, ", ".join([_TREE, *(f"{c} bigint" for c in _FIGURES)]))
+
+
+def edited_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+    """``doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_edited, n_chars_reencoded`` of ``docs(doc_id, text, edits)``.
+
+    The trees of the documents, edited; neither is written.
+    """
+    return edit_trees(segment_trees(docs, tokenizer), tokenizer).select("doc_id", *_FIGURES)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    edits = F.lit(None).cast("array<struct<start: bigint, end: bigint, replacement: string>>")
-    return edited_counts(docs.withColumn("edits", edits))
+    return edited_counts(docs.withColumn("edits", F.lit(None).cast(EDITS)))

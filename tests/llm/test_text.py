@@ -284,3 +284,41 @@ def test_token_query(spark, rows, counter, awkward, nothing):
     done = token_counts.edited_counts(awkward.withColumn("edits", edits)).collect()
     assert len(done) == awkward.count() and all(r["n_edits"] == 1 and r["n_tokens_edited"] >= 2 for r in done)
     assert token_counts.edited_counts(nothing.withColumn("edits", edits)).count() == 0
+
+
+def test_stored_trees_take_edits_round_by_round(spark, counter, tmp_path):
+    from pyspark.sql import functions as F
+
+    draw, parts = random.Random(8), ["word ", "don't, ", "7 8", " \u00e9t\u00e9", "!!", "\n\n", "\u4e2d\u6587\u3002", "mail@example.org ", "x" * 40]
+    texts = {i: "".join(draw.choices(parts, k=draw.choice([0, 1, 5, 300, 2000]))) for i in range(40)}
+    docs = [*texts.items(), (100, None), (7, texts[7]), (None, "no id here")]
+    trees = token_counts.segment_trees(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    trees.write.parquet(f"{tmp_path}/trees0")
+    for turn in range(3):
+        stored = spark.read.parquet(f"{tmp_path}/trees{turn}")
+        assert stored.count() == len(docs)
+        edits, changed = [], dict(texts)
+        for i, text in texts.items():
+            start = draw.randint(0, len(text))
+            end = min(len(text), start + draw.choice([0, 1, 30]))
+            new = draw.choice([None, "", " put in", "!"])
+            edits.append((i, [(start, end, new)]))
+            changed[i] = text[:start] + (new or "") + text[end:]
+        wanted = spark.createDataFrame(edits, f"doc_id bigint, edits {token_counts.EDITS}")
+        none = F.array().cast(token_counts.EDITS)
+        done = token_counts.edit_trees(stored.join(wanted, "doc_id", "left").withColumn("edits", F.coalesce("edits", none)))
+        done.write.parquet(f"{tmp_path}/trees{turn + 1}")
+        for r in spark.read.parquet(f"{tmp_path}/trees{turn + 1}").collect():
+            text = changed.get(r["doc_id"], "no id here" if r["doc_id"] is None else "")
+            before = texts.get(r["doc_id"], text)
+            assert (r["text"], r["n_tokens_edited"], r["n_tokens"]) == (text, *(len(counter.encoding.encode_ordinary(t)) for t in (text, before)))
+            assert sum(r["lengths"]) == r["n_chars_edited"] == len(text) and r["sums"][1] == r["n_tokens_edited"]
+            leaves, at = r["sums"][len(r["sums"]) // 2 :], 0
+            for length, tokens in zip(r["lengths"], leaves, strict=False):
+                assert tokens == len(counter.encoding.encode_ordinary(text[at : at + length]))
+                at += length
+            # Nothing but the leaves around the one edit is encoded.
+            assert r["n_edits"] == (r["doc_id"] in texts) and r["n_chars_reencoded"] <= (1200 if r["n_edits"] else 0)
+        texts = changed
+    with pytest.raises(ValueError):
+        token_counts.TokenTree.stored("abc", [2], np.array([0, 1]), counter)
