@@ -25,10 +25,10 @@ from linkloom.operators.lookup import lookup_join
 from linkloom.operators.ranking import sum_by_title, top_n_pages
 from linkloom.runtime import ship_package, written
 
-# Titles that a task keeps for each one asked for, and at least. By the usual skew of views the n-th title has
-# one part in n times the logarithm of the number of titles.
+# Titles that a task keeps for each one asked for, and at least: some megabytes a task. The summed floors are at most
+# all views divided by this number; by the usual skew the n-th title has one view in n times the logarithm of the number of titles.
 COUNTERS_PER_PAGE = 32
-LEAST_COUNTERS = 4_096
+LEAST_COUNTERS = 1 << 15
 # Beyond this many pages the summaries would not fit a task well: all titles are counted.
 MOST_PAGES = 10_000
 
