@@ -12,8 +12,7 @@ from linkloom.functions.cells import cell_shard_name, count_shard_name, hash_sha
 from linkloom.functions.text import parse_int
 from linkloom.operators import ranking as op
 from linkloom.operators.positions import number_lines
-from linkloom.operators.pruning import candidates, summarise
-from linkloom.operators.pruning import top_n_pruned as top_n_pruned_op
+from linkloom.operators.pruning import candidates, narrowed, ranked_candidates, summarise
 from linkloom.plans.popularity import count_pages, most_viewed, page_views, rank_pages
 from linkloom.plans.popularity_state import ranking, update_ranking
 from linkloom.runtime import new_path, written
@@ -22,7 +21,7 @@ from linkloom.sources import sinks
 
 SHARDS = 8
 TOP = 100
-# Few titles kept by each task, so that most are forgotten.
+# Few titles kept by each task, so that most are forgotten; a skewed log is summarised anew by more where they say too little.
 FEW, COUNTERS, SKEWED_COUNTERS = 3, 200, 128
 _LEAST = f"select min(count) as least from (select count from counts order by count desc limit {FEW})"
 
@@ -185,13 +184,13 @@ _LEVEL = "cast(shiftright(l_partkey, cast(l_orderkey % 12 as int)) as string) as
         group by page_title order by count desc, page_title limit {FEW}""",
 )
 def top_n_pruned_skewed(t: Inputs) -> DataFrame:
-    """A log in which few titles have most views, by tasks that keep few; ``pruned`` if under half of all titles reach the shuffle."""
+    """A log in which few titles have most views, by tasks that keep few at first; ``pruned`` if under half of all titles reach the shuffle."""
     views = t.base("lineitem").selectExpr(_LEVEL, "cast(l_quantity as bigint) as count")
-    chosen = candidates(summarise(views, SKEWED_COUNTERS), FEW)
+    summary, chosen = narrowed(views, FEW, SKEWED_COUNTERS)
     shuffled = None if chosen.titles is None or chosen.exact else chosen.titles.count()
     titles = views.select("page_title").distinct().count()
     pruned = F.lit(shuffled is not None and 2 * shuffled < titles)
-    return top_n_pruned_op(views, FEW, SKEWED_COUNTERS).withColumn("pruned", pruned)
+    return ranked_candidates(views, FEW, summary, chosen).withColumn("pruned", pruned)
 
 
 @register("ranking_job", query("select page_title, count from counts", "counts"))

@@ -7,8 +7,8 @@
 3. Only titles whose upper bound reaches that number are counted in a second pass over the rows. All other rows are dropped before the
    shuffle. Titles with as many views as the last one reach the bound too, so ties are decided as in the full ranking.
 
-Where the summaries say too little (the summed floors reach the bound), or a count is missing, negative or very large, all titles
-are counted. The result is the same in every case. Where no task had to forget a title, the lower bounds are the counts.
+Where the summaries say too little (the summed floors reach the bound), wider ones are made, up to the number of titles that a task may keep. Where these
+say too little as well, or a count is missing, negative or very large, all titles are counted. The result is the same in every case. Where no task had to forget a title, the lower bounds are the counts.
 """
 
 from __future__ import annotations
@@ -128,15 +128,24 @@ def candidates(summary: Summary, n: int) -> Candidates:
     return Candidates(written(reach.select("page_title"), "candidate-titles"), row["least"], False)
 
 
-def top_n_pruned(pageviews: DataFrame, n: int, counters: int | None = None) -> DataFrame:
-    """The ``n`` most viewed pages of ``pageviews(page_title, count)``, which is read twice; a negative ``n`` means all.
+def narrowed(pageviews: DataFrame, n: int, counters: int) -> tuple[Summary, Candidates]:
+    """A summary of ``counters`` titles a task and its candidates; a wider one where that says too little.
 
-    Equal to ranking the sums of all titles. ``counters`` is the number of titles that a task may keep.
+    Floors shrink as a summary widens, at least by its width in rows that are spread evenly. So the next is as wide as the bound
+    asks for, eight times as wide at least, and never wider than ``LEAST_COUNTERS`` and ``COUNTERS_PER_PAGE`` allow.
     """
-    if n <= 0 or n > MOST_PAGES:
-        return top_n_pages(sum_by_title(pageviews), n)
-    summary = summarise(pageviews, max(n, counters or max(LEAST_COUNTERS, COUNTERS_PER_PAGE * n)))
-    chosen = candidates(summary, n)
+    most = max(LEAST_COUNTERS, COUNTERS_PER_PAGE * n)
+    while True:
+        summary = summarise(pageviews, counters)
+        chosen = candidates(summary, n)
+        if chosen.titles is not None or not summary.fits or counters >= most:
+            return summary, chosen
+        wanted = 2 * counters * summary.floor // max(1, chosen.least or 1)
+        counters = min(most, max(8 * counters, wanted))
+
+
+def ranked_candidates(pageviews: DataFrame, n: int, summary: Summary, chosen: Candidates) -> DataFrame:
+    """The ``n`` most viewed pages by a second pass over the rows of the chosen titles."""
     if chosen.exact:
         return top_n_pages(summary.bounds.select("page_title", F.col("lower").alias("count")), n)
     if chosen.titles is not None:
@@ -145,3 +154,14 @@ def top_n_pruned(pageviews: DataFrame, n: int, counters: int | None = None) -> D
             pageviews.select("page_title", "count"), chosen.titles, ["page_title"], "left_semi", stored=False
         )
     return top_n_pages(sum_by_title(pageviews), n)
+
+
+def top_n_pruned(pageviews: DataFrame, n: int, counters: int | None = None) -> DataFrame:
+    """The ``n`` most viewed pages of ``pageviews(page_title, count)``, which is read twice or more; a negative ``n`` means all.
+
+    Equal to ranking the sums of all titles. ``counters`` is the number of titles that a task keeps at first.
+    """
+    if n <= 0 or n > MOST_PAGES:
+        return top_n_pages(sum_by_title(pageviews), n)
+    first = max(n, counters or max(LEAST_COUNTERS, COUNTERS_PER_PAGE * n))
+    return ranked_candidates(pageviews, n, *narrowed(pageviews, n, first))

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.catalog.registry import QUERIES
 from linkloom.operators import pruning as op
 from linkloom.operators.ranking import rank_desc, sum_by_title
 from linkloom.runtime import written
@@ -79,3 +80,18 @@ def test_titles_that_are_not_utf8(spark):
     views = written(rows.withColumn("page_title", F.col("page_title").cast("string")), "bytes")
     got = op.top_n_pruned(views, 1, 1).select(F.col("page_title").cast("binary").alias("t"), "count").collect()
     assert [(bytes(r["t"]), r["count"]) for r in got] == [(b"a\xff", 5)]
+
+
+def test_wider_summaries_where_few_counters_say_too_little(spark, tmp_path):
+    """Some two hundred titles share the first places, more than the query's tasks keep at first."""
+    rows = spark.range(600_000, numPartitions=6).selectExpr(
+        "id * 7919 % 400000 as l_partkey", "id * 31 as l_orderkey", "1.0D + id % 50 as l_quantity"
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = QUERIES["top_n_pruned_skewed"](spark, str(tmp_path)).collect()
+    views = spark.read.parquet(f"{tmp_path}/lineitem.parquet").selectExpr(
+        "cast(shiftright(l_partkey, cast(l_orderkey % 12 as int)) as string) as page_title", "cast(l_quantity as bigint) as count"
+    )
+    assert op.candidates(op.summarise(views, 128), 3).titles is None
+    assert [(r["page_title"], r["count"]) for r in got] == ranked(rank_desc(sum_by_title(views)).limit(3))
+    assert all(r["pruned"] for r in got)
