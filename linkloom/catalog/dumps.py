@@ -19,6 +19,7 @@ from linkloom.plans.files import filter_file
 from linkloom.runtime import new_path, written
 from linkloom.sources import lines as source
 from linkloom.sources import sinks
+from linkloom.sources.chunks import read_chunks
 
 CHUNK_LINES = 100
 RANGE_BYTES = 128 << 10
@@ -97,9 +98,10 @@ def file_order(t: Inputs) -> DataFrame:
         dump, ids = new_path(t.spark, "ordered-dump"), new_path(t.spark, "ordered-ids")
         filter_file(t.spark, folder, dump, index_output=ids, chunk_size=size)
         for path, kind in ((dump, "chunks" if size else "dump"), (ids, "id chunks" if size else "ids")):
-            read = number_lines(source.read_lines(t.spark, path))
-            chunk = F.regexp_extract("file", r"chunk=(\d+)", 1).try_cast("bigint")
-            read = read.select("line_no", "value", F.coalesce(chunk, F.lit(0).cast("bigint")).alias("chunk"))
+            # Read twice to number them: chunks are many files, so their lines are stored once.
+            read = number_lines(written(read_chunks(t.spark, path), "chunk-lines") if size else source.read_lines(t.spark, path))
+            chunk = F.col("chunk") if size else F.lit(0).cast("bigint")
+            read = read.select("line_no", "value", chunk.alias("chunk"))
             first = F.min("line_no").over(Window.partitionBy("chunk"))
             parts.append(read.select(F.lit(kind).alias("output"), "chunk", (F.col("line_no") - first).alias("line_no"), "value"))
     return reduce(DataFrame.unionByName, parts)

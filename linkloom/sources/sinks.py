@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.cells import hash_shard
 from linkloom.operators.positions import in_file_order
 from linkloom.operators.ranking import rank_desc, rank_line, rank_order, with_count_shard
+from linkloom.sources.chunks import write_chunks
 
 
 def write_lines(lines: DataFrame, path: str, *order, mode: str = "errorifexists") -> None:
@@ -48,13 +49,7 @@ def write_dump(rebuilt: DataFrame, path: str) -> None:
 
 def write_dump_chunks(rebuilt: DataFrame, path: str) -> None:
     """The same, one folder ``chunk=<k>`` per chunk. Needs ``line_no`` and ``chunk``."""
-    (
-        rebuilt.repartitionByRange("chunk", "line_no")
-        .sortWithinPartitions("chunk", "line_no")
-        .select("chunk", "value")
-        .write.partitionBy("chunk")
-        .text(path)
-    )
+    write_chunks(rebuilt, path, "chunk", "line_no")
 
 
 def write_ids(ids: DataFrame, path: str) -> None:
@@ -64,9 +59,7 @@ def write_ids(ids: DataFrame, path: str) -> None:
 
 def write_id_chunks(ids: DataFrame, path: str) -> None:
     """The same, one folder ``chunk=<k>`` per chunk. Needs ``line_no`` and ``chunk``."""
-    order = "chunk", "line_no", "pos"
-    ordered = ids.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.select("chunk", F.col("id").cast("string").alias("value")).write.partitionBy("chunk").text(path)
+    write_chunks(ids.withColumn("value", F.col("id").cast("string")), path, "chunk", "line_no", "pos")
 
 
 def write_names(names: DataFrame, path: str, *order) -> None:

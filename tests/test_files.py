@@ -129,3 +129,24 @@ def test_other_stores_are_refused_early(spark):
 
     with pytest.raises(ValueError, match="wasbs"):
         read_coo(spark, "wasbs://c@a.example/x")
+
+
+def test_many_chunks_are_written_by_many_tasks(spark, tmp_path):
+    from linkloom.sources import sinks
+    from linkloom.sources.chunks import read_chunks
+
+    rows = [(i // 3, i, bytearray(b"a\xff%d" % i) if i % 5 else bytearray()) for i in range(1200)]
+    rows += [(400, 1200 + i, bytearray(b"long %d" % i)) for i in range(2000)]
+    lines = spark.createDataFrame(rows, "chunk bigint, line_no bigint, value binary")
+    out = tmp_path / "out"
+    sinks.write_dump_chunks(lines.withColumn("value", lines["value"].cast("string")), str(out))
+    parts = {p.name.split(".")[0][:10] for p in out.glob("chunk=*/part-*")}
+    assert len(parts) > 1 and (out / "_SUCCESS").exists() and not list(out.glob("chunk=*/.*"))
+    for chunk in (0, 7, 399, 400):
+        want = [bytes(v) for c, _, v in rows if c == chunk]
+        assert b"".join(p.read_bytes() for p in sorted(out.glob(f"chunk={chunk}/part-*"))) == b"".join(v + b"\n" for v in want)
+    back = read_chunks(spark, str(out))
+    got = [(r["chunk"], bytes(r["v"])) for r in back.selectExpr("*", "cast(value as binary) v").orderBy("chunk", "file", "slot").collect()]
+    assert got == [(c, bytes(v)) for c, _, v in rows]
+    with pytest.raises(FileExistsError):
+        sinks.write_dump_chunks(lines.withColumn("value", lines["value"].cast("string")), str(out))
