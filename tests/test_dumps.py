@@ -173,3 +173,20 @@ def test_very_long_line(spark):
     assert parsed.count() == 60_000
     kept = by_title(parsed, "a);b_'x,(59999)")
     assert rebuilt(lines, kept) == [insert(tuples[-1])]
+
+
+def test_dump_texts_move_once(spark, monkeypatch):
+    """The derived dumps: what is stored on the way holds columns, and only the dump itself the texts of its lines."""
+    from linkloom.catalog import inputs
+    from linkloom.operators import positions
+
+    stored = []
+    for module in (inputs, positions):
+        keep = module.written
+        monkeypatch.setattr(module, "written", lambda df, label, keep=keep: stored.append((label, df.columns)) or keep(df, label))
+    monkeypatch.setattr(inputs, "_stored", {})
+    made = inputs.Inputs(spark, "/root/testdata/sf0.001")
+    lines = [r["value"] for r in source.read_lines(spark, made.dump("page")).orderBy("file", "block", "slot").collect()]
+    assert [label for label, _ in stored] == ["page", "placed"] and "tuple" not in stored[1][1]
+    assert lines[0] == "-- block 0" and lines[1].startswith("INSERT INTO `page` VALUES (0,") and lines[-2:] == ["/* Footer */", ""]
+    assert len(lines) == 2 * -(-made.page.count() // inputs.TUPLES_PER_LINE) + 2
