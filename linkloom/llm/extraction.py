@@ -13,8 +13,9 @@ equal streams are one. A page that is covered by nine tenths is a copy of
 other pages and not boilerplate; it stays as it is. Text in an article is never removed for being
 repeated: mirrored pages and quoted passages are content.
 
-A host is split into shards of a few hundred pages by a hash of the page, as boilerplate repeats in each of
-them; so the work of a task is bounded however large the host.
+Runs are always counted over the whole host. A host of a few hundred pages is one task's; of a larger one each page gives
+the hashes of its runs, Spark counts on how many different pages each occurs, and the frequent ones, which
+are few, go back to the pages. Both ways give the same text, and no task holds a large host.
 
 Defined results: a null or empty page has no text; a page whose text is all boilerplate has none
 either. Pages without url are one host. Rows that repeat give equal results. An empty table gives
@@ -32,12 +33,14 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import attach, ship_package, table, written
 from linkloom.llm.html import blocks_of
-from linkloom.llm.words import batches_by_bytes
+from linkloom.llm.words import batches_by_bytes, shingles, words_of
 
+# Pages and bytes of a host that one task takes whole.
 SHARD_PAGES = 256
 SHARD_BYTES = 8 << 20
 # Tokens that a repeated run has at least: two to this power.
 DOUBLINGS = 3
+RUN = 1 << DOUBLINGS
 LEAST_SHARE = 0.3
 COPY_SHARE = 0.9
 
@@ -123,18 +126,93 @@ def page_blocks(pages: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "page_id bigint, url string, named boolean, blocks array<string>")
 
 
+def run_hashes(blocks: list[str]) -> np.ndarray:
+    """A hash for each run of :data:`RUN` tokens of a page, in order."""
+    tokens = words_of(pa.array([" ".join(blocks)], pa.string()), lower=False).hashes
+    return shingles(tokens, RUN).view(np.int64) if len(tokens) >= RUN else np.zeros(0, dtype=np.int64)
+
+
+def run_rows(pages: DataFrame) -> DataFrame:
+    """``host, page, run`` of each different run of each row of ``pages(host, page, blocks)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, blocks in enumerate(batch.column("blocks").to_pylist()):
+                runs = np.unique(run_hashes(blocks))
+                for low in range(0, len(runs), 1 << 16):
+                    part = pa.array(runs[low : low + (1 << 16)])
+                    same = pa.array(np.full(len(part), i))
+                    yield pa.RecordBatch.from_arrays([batch.column("host").take(same), batch.column("page").take(same), part], ["host", "page", "run"])
+
+    return pages.select("host", "page", "blocks").mapInArrow(run, "host string, page bigint, run bigint")
+
+
+def frequent_runs(pages: DataFrame) -> DataFrame:
+    """``host, runs``, written: the runs on enough different pages of each host of ``pages(host, named, blocks)`` that has undecided ones.
+
+    A run is on three tenths of the different pages, so a host has no more of them than a few pages have tokens.
+    """
+    undecided = written(pages.where(~F.col("named") & (F.size("blocks") > 0)).select("host").distinct(), "undecided-hosts")
+    page = F.xxhash64(F.array_join("blocks", " "))
+    streams = attach(pages.withColumn("page", page), undecided, ["host"], "left_semi", spread_by=["page"])
+    sizes = written(streams.groupBy("host").agg(F.count_distinct("page").alias("pages")), "host-pages")
+    counts = run_rows(streams).groupBy("host", "run").agg(F.count_distinct("page").alias("on"))
+    counts = attach(counts.where("on > 1"), sizes, ["host"], spread_by=["run"])
+    often = counts.where(F.col("on") >= F.ceil(F.lit(LEAST_SHARE) * F.col("pages")))
+    return written(often.groupBy("host").agg(F.collect_list("run").alias("runs")), "frequent-runs")
+
+
+def covered_by(runs: np.ndarray, frequent: np.ndarray, tokens: int) -> np.ndarray:
+    """Which of a page's tokens lie in one of the ``frequent`` runs."""
+    change = np.zeros(tokens + 1, dtype=np.int64)
+    starts = np.flatnonzero(np.isin(runs, frequent))
+    change[starts] += 1
+    change[starts + RUN] -= 1
+    return np.cumsum(change)[:tokens] > 0
+
+
+def page_texts(rows: DataFrame) -> DataFrame:
+    """``page_id, url, text, n_chars`` of ``rows(page_id, url, blocks, runs)``; without ``runs`` a page stays as it is."""
+
+    def text_of(blocks: list[str], frequent: np.ndarray | None) -> str:
+        if frequent is not None and blocks:
+            covered = covered_by(run_hashes(blocks), frequent, sum(b.count(" ") + 1 for b in blocks))
+            if covered.mean() < COPY_SHARE:
+                return unique_text(blocks, covered)
+        return "\n".join(blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = (r.values.to_numpy() if r.is_valid else None for r in batch.column("runs"))
+            texts = [text_of(b, r) for b, r in zip(batch.column("blocks").to_pylist(), runs, strict=True)]
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes], TEXTS_NAMES)
+
+    return rows.select("page_id", "url", "blocks", "runs").mapInArrow(run, TEXTS)
+
+
+TEXTS = "page_id bigint, url string, text string, n_chars bigint"
+TEXTS_NAMES = ["page_id", "url", "text", "n_chars"]
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``."""
     ship_package(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     size = F.coalesce(F.octet_length("html"), F.lit(0))
     hosts = pages.select(host.alias("host"), size.alias("size")).groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.sum("size").alias("size"))
-    shards = F.ceil(F.greatest(F.col("pages") / SHARD_PAGES, F.col("size") / SHARD_BYTES)).cast("int")
-    large = written(hosts.select("host", shards.alias("shards")).where("shards > 1"), "large-hosts")
-    rows = attach(page_blocks(pages).withColumn("host", host), large, ["host"], "left", spread_by=["page_id"])
-    shard = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("shards", F.lit(1)))
-    rows = rows.withColumn("shard", shard).drop("shards")
-    return rows.groupBy("host", "shard").applyInArrow(_shard, "page_id bigint, url string, text string, n_chars bigint")
+    large = written(hosts.where((F.col("pages") > SHARD_PAGES) | (F.col("size") > SHARD_BYTES)).select("host"), "large-hosts")
+    hosted = pages.select("page_id", "url", "html", host.alias("host"))
+    # Each page is parsed once: those of large hosts are stored, the others go to the task of their host.
+    small = page_blocks(attach(hosted, large, ["host"], "left_anti", spread_by=["page_id"])).withColumn("host", host)
+    texts = small.groupBy("host").applyInArrow(_shard, TEXTS)
+    if large.isEmpty():
+        return texts
+    stored = written(page_blocks(attach(hosted, large, ["host"], "left_semi", spread_by=["page_id"])).withColumn("host", host), "host-blocks")
+    runs = frequent_runs(stored).withColumnRenamed("host", "of")
+    # Pages that the markup decides take no runs.
+    rows = stored.withColumn("of", F.when(~F.col("named"), F.col("host")))
+    return texts.unionByName(page_texts(attach(rows, runs, ["of"], "left", spread_by=["page_id"])))
 
 
 def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

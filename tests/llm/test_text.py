@@ -169,6 +169,22 @@ def test_host_boilerplate_without_markup(spark):
     assert texts[100] == "kept" and texts[101] == texts[102] == "" and texts[103] == bar
 
 
+def test_extraction_is_the_same_for_any_size_of_host(spark, monkeypatch):
+    bars = ["home about contact imprint privacy terms help search now", "one two three four five six seven eight nine"]
+    own = [" ".join(f"u{i}x{j}" for j in range(5 + 7 * (i % 6))) for i in range(60)]
+    # Every third page has the second bar, every tenth a third one, which is too seldom; some are mirrored or decided by their markup.
+    bodies = [f"<div>{bars[0]}</div><div>{own[i]} {bars[1] if i % 3 == 0 else ''}</div><p>{'a b c d e f g h ' if i % 10 == 0 else 'x'}</p>" for i in range(60)]
+    bodies += [f"<main>{bars[1]}</main>", bodies[3], f"<div>{bars[0]}</div>", "", None]
+    pages = spark.createDataFrame([(i, "http://h.org/p", b) for i, b in enumerate(bodies)], "page_id bigint, url string, html string")
+    whole = {r["page_id"]: (r["text"], r["n_chars"]) for r in extraction.extract_text(pages).collect()}
+    assert len(whole) == len(bodies) and whole[1][0] == own[1] + "\nx" and whole[0][0] == own[0] + "\na b c d e f g h" and whole[60][0] == bars[1]
+    for pages_limit, bytes_limit in ((8, 8 << 20), (1, 8 << 20), (256, 100)):
+        monkeypatch.setattr(extraction, "SHARD_PAGES", pages_limit)
+        monkeypatch.setattr(extraction, "SHARD_BYTES", bytes_limit)
+        got = {r["page_id"]: (r["text"], r["n_chars"]) for r in extraction.extract_text(pages.repartition(5)).collect()}
+        assert got == whole
+
+
 def test_extraction_of_shards_and_nothing(spark, monkeypatch):
     monkeypatch.setattr(extraction, "SHARD_PAGES", 8)
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
