@@ -335,3 +335,12 @@ def test_store_without_cells(spark, tmp_path):
     batch_index.write_batch_store(empty, str(tmp_path / "none"))
     asked = spark.createDataFrame([(0,)], "batch_id long")
     assert batch_index.fetch_batches(spark, str(tmp_path / "none"), asked, 4).collect() == []
+
+
+def test_short_slices_share_a_task(spark, tmp_path):
+    rows = [(i % 2, i, 3 * i, float(i)) for i in range(3000)]
+    write_coo(spark.createDataFrame(rows, "shard int, row long, col long, value float"), str(tmp_path), 2)
+    read = read_coo(spark, str(tmp_path), slice_records=7)
+    assert read.rdd.getNumPartitions() == 2
+    got = [tuple(r) for r in read.orderBy("shard", "pos").collect()]
+    assert got == [(s, n, 2 * n + s, 3 * (2 * n + s), float(2 * n + s)) for s in (0, 1) for n in range(1500)]
