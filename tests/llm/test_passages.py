@@ -156,3 +156,47 @@ def test_edited_copies_in_a_crowd_meet_few_others(monkeypatch):
     want, every = reached()
     assert got == want and len(got) > n // 2
     assert pairs < 40 * n < every
+
+
+@pytest.mark.parametrize("few", [128, 2])
+def test_a_passage_of_two_sources_is_in_the_class_of_both(spark, monkeypatch, few):
+    """No link between different texts is lost: not to a second source, nor between two passages that both have exact copies."""
+    monkeypatch.setattr(op, "FEW", few)
+
+    def alone(i):
+        return prose(50_000 + i, 40)
+
+    one, other, edited = prose(40_000, 60), prose(40_001, 60), prose(40_002, 50).split()
+    docs = [(1, f"{alone(1)} {one} {alone(2)}"), (2, f"{alone(3)} {other} {alone(4)}"), (3, f"{alone(5)} {one} {other} {alone(6)}")]
+    # Two texts have the passage, and two others have it with another word in the middle.
+    changed = [*edited[:25], "other", *edited[26:]]
+    docs += [(10 + i, " ".join([alone(10 + i), *(edited if i < 2 else changed), alone(20 + i)])) for i in range(4)]
+    docs += [(20 + i, f"{alone(30 + i)} {prose(40_003, 55)} {alone(40 + i)}") for i in range(2)]
+    got = op.repeated_passages(spark.createDataFrame(docs, KINDS)).collect()
+    classes = {}
+    for r in got:
+        classes.setdefault((r["class_doc_id"], r["class_first_word"]), set()).add(r["doc_id"])
+    assert sorted(map(sorted, classes.values())) == [[1, 2, 3], [10, 11, 12, 13], [20, 21]]
+    assert all(c[0] == min(ids) for c, ids in classes.items())
+
+
+@pytest.mark.parametrize(("few", "parts"), [(4, 32_768), (4, 40)])
+def test_classes_in_a_crowd_are_those_of_all_pairs(spark, monkeypatch, few, parts):
+    """Chains of edited copies around a common middle: what is tied over any link is one class, in groups of any size and in parts of them."""
+    draw, docs = random.Random(5), []
+    middle = prose(60_000, 26).split()
+    for family in range(12):
+        passage = [*prose(61_000 + family, 34).split(), *middle, *prose(62_000 + family, 34).split()]
+        for step in range(6):
+            at = draw.choice([*range(0, 30, 3), *range(64, 94, 3)])
+            passage = [*passage[:at], f"e{family}x{step}", *passage[at + 1 :]]
+            docs.append((family * 10 + step, " ".join([prose(63_000 + family * 10 + step, 20), *passage, prose(64_000 + family * 10 + step, 20)])))
+    table = spark.createDataFrame(docs, KINDS)
+
+    def classes():
+        return {(r["doc_id"], r["first_word"]): (r["class_doc_id"], r["class_first_word"]) for r in op.repeated_passages(table).collect()}
+
+    want = classes()
+    monkeypatch.setattr(op, "FEW", few)
+    monkeypatch.setattr(op, "PART_CLASSES", parts)
+    assert len(want) >= 60 and classes() == want
